@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from orderpulse.functions import expressions as ex
@@ -195,21 +197,35 @@ def pearson(a: Column, b: Column) -> Column:
 
 
 def correlations(df: DataFrame, columns: Sequence[str], drop_missing: bool = False) -> DataFrame:
-    """Pearson r of each pair (a before b in the list), in one pass.
+    """Pearson r of each pair (a before b in the list).
 
     Pairs with a missing side are skipped pair by pair, or whole rows are when
-    ``drop_missing`` is set.  A constant column gives a missing r.
+    ``drop_missing`` is set.  A constant column gives a missing r.  Complete
+    columns share one Gram matrix; only pairs with an incomplete column are
+    aggregated on their own.
     """
     source = df.dropna(subset=list(columns)) if drop_missing else df
-    pairs = list(combinations(columns, 2))
-    rows = [
-        F.struct(
-            F.lit(a).alias("a"), F.lit(b).alias("b"),
-            pearson(F.col(a), F.col(b)).alias("r"),
-        )
-        for a, b in pairs
-    ]
-    return source.agg(F.array(*rows).alias("m")).select(F.inline("m"))
+    values = source.select(*[ex.nan_to_null(F.col(c).cast("double")).alias(c) for c in columns])
+    row = values.agg(
+        F.count("*").alias("n"),
+        *[F.struct(F.count(c), F.avg(c), F.min(c), F.max(c)).alias(c) for c in columns],
+    ).first()
+    varied = [c for c in columns if row["n"] > 1 and row[c][0] == row["n"] and row[c][2] < row[c][3]]
+    gappy = {c for c in columns if row[c][0] < row["n"]}
+    known: dict[tuple[str, str], float | None] = {}
+    if len(varied) > 1:
+        centred = values.select(*[(F.col(c) - F.lit(row[c][1])).alias(c) for c in varied])
+        vectors = VectorAssembler(inputCols=varied, outputCol="v").transform(centred).select("v")
+        matrix = Correlation.corr(vectors, "v").first()[0].toArray()
+        known |= {
+            (varied[i], varied[j]): float(matrix[i][j]) for i, j in combinations(range(len(varied)), 2)
+        }
+    left = [p for p in combinations(columns, 2) if gappy & set(p)]
+    if left:
+        found = values.agg(*[pearson(F.col(a), F.col(b)) for a, b in left]).first()
+        known |= dict(zip(left, found))
+    rows = [(a, b, known.get((a, b))) for a, b in combinations(columns, 2)]
+    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
 
 
 def correlation_with(df: DataFrame, target: str, columns: Sequence[str], drop_missing: bool = False) -> DataFrame:

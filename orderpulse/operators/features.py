@@ -25,6 +25,9 @@ STATE_REGIONS: dict[str, list[str]] = {
 OTHER_REGION = "outro"
 HIGH_RISK_STATES = ("RR", "AL", "MA", "SE", "PA")
 
+REVIEW_COLUMNS = ("review_score", "review_comment_message", "review_comment_title")
+TEXT_FEATURES = ("has_comment", "has_review_title", "comment_length")
+
 # Columns winsorised at the 1st and 99th percentile.
 WINSOR_COLUMNS = (
     "actual_delivery_days", "delivery_delay_days", "approval_time_hours",
@@ -39,13 +42,13 @@ def delivered_orders(orders: DataFrame, status: str = "delivered") -> DataFrame:
     return orders.where(F.col("order_status") == status)
 
 
-def latest_reviews(reviews: DataFrame) -> DataFrame:
+def latest_reviews(reviews: DataFrame, columns: Sequence[str] = REVIEW_COLUMNS) -> DataFrame:
     """The most recently answered review per order; undated ones come last."""
     return latest_per_key(
         reviews,
         ["order_id"],
         [F.col("review_answer_timestamp").desc_nulls_last(), F.col("review_id").desc()],
-    ).select("order_id", "review_score", "review_comment_message", "review_comment_title")
+    ).select("order_id", *columns)
 
 
 def reviewed_orders(orders: DataFrame, reviews: DataFrame) -> DataFrame:
@@ -53,6 +56,16 @@ def reviewed_orders(orders: DataFrame, reviews: DataFrame) -> DataFrame:
     return delivered_orders(orders).join(latest_reviews(reviews), "order_id", "inner")
 
 
+def reviewed_orders_with_text(orders: DataFrame, reviews: DataFrame) -> DataFrame:
+    """The same with text features, taken where the reviews are read.
+
+    When nobody reads the raw text later, only its length and flags travel
+    through the shuffles and joins.
+    """
+    described = latest_reviews(add_text_features(reviews), (*REVIEW_COLUMNS, *TEXT_FEATURES))
+    return delivered_orders(orders).join(described, "order_id", "inner")
+
+
 def summarize_items(items: DataFrame) -> DataFrame:
     """Counts, prices and the main (most expensive) item per order, in one pass."""
     main = F.min(
@@ -268,7 +281,10 @@ def winsorize(
 
 
 def add_exploratory_features(base: DataFrame) -> DataFrame:
-    """The notebook variant: whole-day spans and guarded ratios (0 when both are 0)."""
+    """The notebook variant: whole-day spans and guarded ratios (0 when both are 0).
+
+    A comment flag the frame already has is kept, so raw text need not be read.
+    """
     bought = F.col("order_purchase_timestamp")
     arrived = F.col("order_delivered_customer_date")
     out = base.withColumns(
@@ -282,7 +298,9 @@ def add_exploratory_features(base: DataFrame) -> DataFrame:
             "precio_promedio_item": ex.guarded_ratio(F.col("total_price"), F.col("order_item_count")),
             "mes_compra": ex.year_month(bought),
             "anio_compra": F.year(bought),
-            "tiene_comentario": ex.flag(F.col("review_comment_message").isNotNull()),
+            "tiene_comentario": F.coalesce("tiene_comentario", F.lit(0))
+            if "tiene_comentario" in base.columns
+            else ex.flag(F.col("review_comment_message").isNotNull()),
             "satisfecho": ex.binary_label(F.col("review_score")),
             "pago_en_cuotas": ex.flag(F.col("payment_installments") > 1),
         }

@@ -5,12 +5,13 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from orderpulse.operators.ordering import plain_zero, running_totals
 
 # Up to this many values Spark's exact percentile holds one column in memory.
-DIRECT_LIMIT = 1_000_000
+DIRECT_LIMIT = 200_000
 ACCURACY = 20_000
 
 
@@ -23,9 +24,10 @@ def exact_quantiles(
 ) -> dict[str, list[float | None]]:
     """Quantiles of several columns, fitted in two passes over the data.
 
-    The first pass counts values and, for large data, brackets each wanted rank
-    with an approximate sketch; the second reads only values inside the
-    brackets.  Missing and NaN values are ignored; an empty column gives None.
+    The first pass counts values.  Up to ``direct_limit`` of them go through
+    Spark's exact percentile, which holds a column's distinct values in memory;
+    beyond that, sketch brackets narrow the ranks first.  Both are exact.
+    Missing and NaN values are ignored; an empty column gives None.
     """
     exprs = columns if isinstance(columns, Mapping) else {c: F.col(c) for c in columns}
     names = list(exprs)
@@ -49,72 +51,104 @@ def exact_quantiles(
     return _bracketed(values, names, list(counts), list(probs), accuracy)
 
 
+def _intervals(sketch: Sequence[float], slack: float, probs: Sequence[float]) -> list[tuple[float, float]]:
+    """Disjoint closed value ranges that hold every wanted rank of one column."""
+    spans = []
+    for j, p in enumerate(probs):
+        low = -math.inf if p - slack <= 0 else sketch[2 * j]
+        high = math.inf if p + slack >= 1 else sketch[2 * j + 1]
+        spans.append((low, high))
+    merged: list[tuple[float, float]] = []
+    for low, high in sorted(spans):
+        if merged and low <= math.nextafter(merged[-1][1], math.inf):
+            merged[-1] = (merged[-1][0], max(merged[-1][1], high))
+        else:
+            merged.append((low, high))
+    return merged
+
+
 def _bracketed(values, names, counts, probs, accuracy):
-    """Second pass for large data: refine inside sketch brackets."""
+    """For large data: sketch brackets around the wanted ranks, then read inside them.
+
+    One scan counts the values between brackets and keeps the distinct values
+    inside, which are a few per mille of the rows however large the table is.
+    """
     # a sketch answer is at most n/accuracy ranks off; step out by twice that
     slack = 2.0 / accuracy
-    asked = []
-    for p in probs:
-        asked += [max(0.0, p - slack), min(1.0, p + slack)]
+    asked = [q for p in probs for q in (max(0.0, p - slack), min(1.0, p + slack))]
+    filled = [i for i in range(len(names)) if counts[i]]
     sketch = values.agg(
-        *[
-            F.percentile_approx(f"v{i}", F.array(*map(F.lit, asked)), accuracy).alias(f"v{i}")
-            for i in range(len(names))
-        ]
+        *[F.percentile_approx(f"v{i}", F.array(*map(F.lit, asked)), accuracy).alias(f"v{i}") for i in filled]
     ).first()
-    below, inside, targets = [], [], {}
-    for i in range(len(names)):
-        if not counts[i]:
-            continue
-        for j, p in enumerate(probs):
-            low, high = sketch[i][2 * j], sketch[i][2 * j + 1]
-            if p - slack <= 0:
-                low = -math.inf
-            if p + slack >= 1:
-                high = math.inf
-            v = F.col(f"v{i}")
-            below.append(F.count_if(v < F.lit(low)).alias(f"b_{i}_{j}"))
-            inside.append(
+    splits, inside = {}, {}
+    for i in filled:
+        spans = _intervals(sketch[f"v{i}"], slack, probs)
+        # ranges are closed, segments are open at the top: end at the next double
+        ends = sorted({-math.inf, math.inf} | {x for lo, hi in spans for x in (lo, math.nextafter(hi, math.inf))})
+        splits[i] = ends if len(ends) > 2 else [-math.inf, 0.0, math.inf]
+        inside[i] = [k for k, lo in enumerate(splits[i][:-1]) if any(a <= lo <= z for a, z in spans)]
+    cut = Bucketizer(
+        splitsArray=[splits[i] for i in filled],
+        inputCols=[f"v{i}" for i in filled],
+        outputCols=[f"g{i}" for i in filled],
+        handleInvalid="keep",
+    ).transform(values)
+    cells = F.explode(
+        F.array(
+            *[
                 F.when(
-                    (v >= F.lit(low)) & (v <= F.lit(high)),
-                    F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), v.alias("v")),
+                    F.col(f"v{i}").isNotNull(),
+                    F.struct(
+                        F.lit(i).alias("i"),
+                        F.col(f"g{i}").cast("int").alias("g"),
+                        F.when(F.col(f"g{i}").isin(inside[i]), F.col(f"v{i}")).alias("v"),
+                    ),
                 )
-            )
-            rank = p * (counts[i] - 1)
-            targets[(i, j)] = (math.floor(rank), math.ceil(rank), rank - math.floor(rank))
-    start = values.agg(*below).first()
-    candidates = (
-        values.select(F.explode(F.filter(F.array(*inside), lambda s: s.isNotNull())).alias("s"))
-        .groupBy("s.i", "s.j", "s.v")
-        .agg(F.count("*").alias("c"))
+                for i in filled
+            ]
+        )
     )
-    upto = W.partitionBy("i", "j").orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)
-    ranked = candidates.withColumn("hi", F.sum("c").over(upto)).withColumn("lo", F.col("hi") - F.col("c"))
-    picks = []
-    for (i, j), (k0, k1, _) in targets.items():
-        offset = start[f"b_{i}_{j}"]
-        here = (F.col("i") == i) & (F.col("j") == j)
-        for which, k in (("a", k0), ("z", k1)):
-            rank = F.lit(k - offset)
-            picks.append(
-                F.max(F.when(here & (F.col("lo") <= rank) & (rank < F.col("hi")), F.col("v"))).alias(
-                    f"{which}_{i}_{j}"
-                )
-            )
-    found = ranked.agg(*picks).first()
-    out: dict[str, list[float | None]] = {}
-    for i, name in enumerate(names):
-        row: list[float | None] = []
-        for j in range(len(probs)):
-            if (i, j) not in targets:
-                row.append(None)
-                continue
-            a, z = found[f"a_{i}_{j}"], found[f"z_{i}_{j}"]
-            if a is None or z is None:
-                raise ValueError(f"quantile {probs[j]} of {name} fell outside its bracket")
-            row.append(a + (z - a) * targets[(i, j)][2])
-        out[name] = row
-    return out
+    counted = (
+        cut.select(cells.alias("s")).where("s IS NOT NULL").groupBy("s.i", "s.g", "s.v").agg(F.count("*").alias("c"))
+    )
+    segments = counted.groupBy("i", "g").agg(F.sum("c").alias("c"))
+    before = W.partitionBy("i").orderBy("g").rowsBetween(W.unboundedPreceding, -1)
+    offsets = segments.select("i", "g", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("skip"))
+    upto = W.partitionBy("i", "g").orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)
+    ranked = (
+        counted.where("v IS NOT NULL")
+        .withColumn("hi", F.sum("c").over(upto))
+        .join(offsets, ["i", "g"])
+        .select("i", "v", (F.col("skip") + F.col("hi") - F.col("c")).alias("lo"), (F.col("skip") + F.col("hi")).alias("hi"))
+    )
+    wanted = {
+        i: sorted({k for p in probs for k in (math.floor(p * (counts[i] - 1)), math.ceil(p * (counts[i] - 1)))})
+        for i in filled
+    }
+    ranks = F.create_map(
+        *[x for i in filled for x in (F.lit(i), F.array(*[F.lit(k).cast("long") for k in wanted[i]]))]
+    )
+    hit = F.exists(F.element_at(ranks, F.col("i")), lambda k: (F.col("lo") <= k) & (k < F.col("hi")))
+    found = {i: [] for i in filled}
+    # at most two rows per column and probability
+    for row in ranked.where(hit).toLocalIterator():
+        found[row["i"]].append((row["lo"], row["hi"], row["v"]))
+    return {
+        name: [_interpolate(found.get(i), counts[i], p, name) for p in probs] for i, name in enumerate(names)
+    }
+
+
+def _interpolate(cells, n: int, p: float, name: str) -> float | None:
+    if not n:
+        return None
+    rank = p * (n - 1)
+    ends = []
+    for k in (math.floor(rank), math.ceil(rank)):
+        value = next((v for lo, hi, v in cells if lo <= k < hi), None)
+        if value is None:
+            raise ValueError(f"quantile {p} of {name} fell outside its bracket")
+        ends.append(value)
+    return ends[0] + (ends[1] - ends[0]) * (rank - math.floor(rank))
 
 
 def quantiles_by_group(

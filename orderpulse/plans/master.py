@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from orderpulse.functions import expressions as ex
 from orderpulse.operators import features as ft
 from orderpulse.sources.staging import stage
 
@@ -18,10 +19,10 @@ def order_features(
 ) -> DataFrame:
     """Every feature domain joined to delivered, reviewed orders, before winsorising.
 
-    Review text takes part only in the length features; the raw text columns
-    ride along as the reference table keeps them.
+    Raw text columns stay in the frame; a plan that selects none of them never
+    carries them.
     """
-    base = ft.reviewed_orders(tables["orders"], tables["reviews"])
+    base = ft.reviewed_orders_with_text(tables["orders"], tables["reviews"])
     base = ft.add_time_features(base)
     base = ft.add_value_features(
         base, ft.summarize_items(tables["items"]), ft.summarize_payments(tables["payments"])
@@ -30,7 +31,6 @@ def order_features(
     base = ft.add_seller_features(base, tables["sellers"])
     base = ft.add_product_features(base, tables["products"], tables["translation"])
     base = ft.add_customer_features(base, tables["customers"], regions, high_risk)
-    base = ft.add_text_features(base)
     base = ft.add_interaction_features(base)
     return ft.add_target(base, keep_score=keep_score)
 
@@ -41,13 +41,19 @@ def master_table(
     high_risk: Sequence[str] = ft.HIGH_RISK_STATES,
     lower: float = 0.01,
     upper: float = 0.99,
+    keep_text: bool = True,
 ) -> DataFrame:
     """The winsorised master table.
 
     The joined features are staged first: fitting the quantile bounds and
-    clipping then read a columnar table instead of repeating the joins.
+    clipping then read a columnar table instead of repeating the joins.  Without
+    ``keep_text`` the review texts are read for their length only and never
+    shuffled.
     """
-    staged = stage(order_features(tables, regions, high_risk), "features")
+    features = order_features(tables, regions, high_risk)
+    if not keep_text:
+        features = features.drop("review_comment_message", "review_comment_title")
+    staged = stage(features, "features")
     return ft.winsorize(staged, lower=lower, upper=upper)
 
 
@@ -82,7 +88,8 @@ def exploratory_master(tables: Mapping[str, DataFrame]) -> DataFrame:
         "product_id", "product_category_name_english", "product_weight_g", "product_photos_qty"
     )
     reviews = ft.latest_per_key(tables["reviews"], ["order_id"], [F.col("review_id").asc()]).select(
-        "order_id", "review_score", "review_comment_message"
+        "order_id", "review_score", "review_comment_message",
+        ex.flag(F.col("review_comment_message").isNotNull()).alias("tiene_comentario"),
     )
     return (
         tables["orders"]

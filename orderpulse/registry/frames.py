@@ -2,14 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import Any
+
 from pyspark.sql import DataFrame, SparkSession
 
 from orderpulse.operators import features as ft
-from orderpulse.plans import master
+from orderpulse.plans import cleaning, dataset, master
 from orderpulse.sources import star
 from orderpulse.sources.staging import stage
 
-_STAGED: dict[tuple[str, str, str], DataFrame] = {}
+_STAGED: dict[tuple[str, str, str], Any] = {}
+
+
+def _once(spark: SparkSession, folder: str, name: str, build: Callable[[], Any]) -> Any:
+    """Build a shared intermediate once per application and folder."""
+    key = (spark.conf.get("spark.app.id", "app"), folder, name)
+    if key not in _STAGED:
+        _STAGED[key] = build()
+    return _STAGED[key]
 
 
 def features(spark: SparkSession, folder: str) -> DataFrame:
@@ -20,12 +31,21 @@ def features(spark: SparkSession, folder: str) -> DataFrame:
 
 def staged_features(spark: SparkSession, folder: str) -> DataFrame:
     """The same, written once per application and shared by later queries."""
-    key = (spark.conf.get("spark.app.id", "app"), folder, "features")
-    if key not in _STAGED:
-        _STAGED[key] = stage(features(spark, folder), "features")
-    return _STAGED[key]
+    return _once(spark, folder, "features", lambda: stage(features(spark, folder), "features"))
 
 
 def explored(spark: SparkSession, folder: str) -> DataFrame:
     """Every order with the exploration variant of the features."""
     return ft.add_exploratory_features(master.exploratory_master(star.roles(spark, folder)))
+
+
+def cleaned(spark: SparkSession, folder: str) -> cleaning.Cleaned:
+    """The winsorised features after cleaning."""
+    return cleaning.clean_master(ft.winsorize(staged_features(spark, folder)))
+
+
+def model_data(spark: SparkSession, folder: str) -> dataset.Dataset:
+    """Split, encoded and scaled features, written once per application."""
+    return _once(
+        spark, folder, "dataset", lambda: dataset.model_dataset(cleaned(spark, folder).table, star.CUTOFFS)
+    )

@@ -23,8 +23,8 @@ VALUE = (
 )
 VALUE_PARTS = ("order_item_count", "unique_sellers", "payment_installments", "payment_types_count", "payment_type")
 INTERACTION = ("interaccion_retraso_items", "interaccion_precio_tarde", "interaccion_entrega_flete")
-# Per-order values have few terms, so six decimals compare without ties.
-DIGITS = 6
+# Day fractions end within seven decimals, so seven compare without ties.
+DIGITS = 7
 
 
 def _cols(doubles, plain=()) -> str:
