@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import math
+from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from orderpulse.functions import expressions as ex
-from orderpulse.operators.ordering import running_totals
+from orderpulse.operators.ordering import plain_zero, running_totals
 from orderpulse.operators.quantiles import exact_quantiles
 
 FEATURE_EPSILON = 1e-6
@@ -31,16 +33,30 @@ def _stability(counts: DataFrame, epsilon: float) -> DataFrame:
     return shares.groupBy("key").agg(F.sum(term).alias("psi"))
 
 
-def _binned_counts(df: DataFrame, bins: Mapping[str, Column], reference: Column, actual: Column) -> DataFrame:
-    """Count both sides per (key, bin) in one scan; a missing bin drops the cell."""
-    cells = F.explode(
-        F.array(*[F.struct(F.lit(k).alias("key"), b.cast("int").alias("bin")) for k, b in bins.items()])
-    )
+def _binned_counts(
+    values: DataFrame, keys: Sequence[str], splits: Sequence[Sequence[float]], outer: bool
+) -> DataFrame:
+    """Count both sides per (key, bin) in one scan over columns v0, v1, ...
+
+    ``_r`` and ``_a`` flag the sides.  The outermost ranges are bins of their own
+    when ``outer`` is set and lie outside all bins (bin -1) otherwise.
+    """
+    names = [f"v{i}" for i in range(len(keys))]
+    cut = Bucketizer(
+        splitsArray=[list(x) for x in splits], inputCols=names, outputCols=[f"b{n}" for n in names],
+        handleInvalid="keep",
+    ).transform(values)
+    cells = []
+    for key, name, edges in zip(keys, names, splits):
+        raw = F.col(f"b{name}").cast("int")
+        number = raw if outer else F.when(raw.between(1, len(edges) - 3), raw).otherwise(F.lit(-1))
+        known = F.col(name).isNotNull() & ~F.isnan(name)
+        cells.append(F.struct(F.lit(key).alias("key"), F.when(known, number).alias("bin")))
     return (
-        df.select(cells.alias("c"), ex.flag(reference).alias("r"), ex.flag(actual).alias("a"))
+        cut.select("_r", "_a", F.explode(F.array(*cells)).alias("c"))
         .where("c.bin IS NOT NULL")
         .groupBy(F.col("c.key").alias("key"), F.col("c.bin").alias("bin"))
-        .agg(F.sum("r").alias("ref"), F.sum("a").alias("act"))
+        .agg(F.sum("_r").alias("ref"), F.sum("_a").alias("act"))
     )
 
 
@@ -58,23 +74,18 @@ def feature_psi(
         f: sorted(set(q)) if q[0] is not None else []
         for f, q in exact_quantiles(df.where(reference), list(features), probs).items()
     }
-    usable = {f: e for f, e in edges.items() if len(e) >= 2}
-    spark = df.sparkSession
-    flat = spark.createDataFrame([(f,) for f in features], "feature string")
+    usable = [f for f in features if len(edges[f]) >= 2]
+    flat = df.sparkSession.createDataFrame([(f,) for f in features], "feature string")
     if not usable:
         return flat.withColumn("psi", F.lit(0.0))
-    # values pass through the same double conversion as the edges
-    columns = {
-        f: F.when(
-            F.col(f).cast("double").isNotNull() & ~F.isnan(F.col(f).cast("double")),
-            F.when(
-                F.col(f).cast("double").between(e[0], e[-1]),
-                ex.count_edges_below(F.col(f).cast("double"), e[1:-1], inclusive=True),
-            ).otherwise(F.lit(-1)),
-        )
-        for f, e in usable.items()
-    }
-    index = _stability(_binned_counts(df, columns, reference, actual), FEATURE_EPSILON)
+    side = {"_r": ex.flag(reference), "_a": ex.flag(actual)}
+    values = df.select(
+        *[c.alias(n) for n, c in side.items()],
+        *[plain_zero(F.col(f)).alias(f"v{i}") for i, f in enumerate(usable)],
+    )
+    # below the first edge, the bins (the last one closed), above the last edge
+    splits = [[-math.inf, *edges[f][:-1], math.nextafter(edges[f][-1], math.inf), math.inf] for f in usable]
+    index = _stability(_binned_counts(values, usable, splits, outer=False), FEATURE_EPSILON)
     value = F.coalesce("psi", F.lit(0.0))
     return flat.join(index.withColumnRenamed("key", "feature"), "feature", "left").select(
         "feature", (F.round(value, digits) if digits is not None else value).alias("psi")
@@ -87,12 +98,18 @@ def score_psi(
     """Stability index of the score per period against a reference period."""
     probs = [i / buckets for i in range(1, buckets)]
     score = F.col(proba).cast("double")
-    edges = exact_quantiles(df.where(F.col(period) == reference), {"s": score}, probs)["s"]
-    bins = F.when(score.isNotNull(), ex.count_edges_below(score, [e for e in edges if e is not None], inclusive=True))
+    found = exact_quantiles(df.where(F.col(period) == reference), {"s": score}, probs)["s"]
+    # an edge that repeats opens an empty bin on both sides, which adds nothing
+    splits = [-math.inf, *sorted({e for e in found if e is not None}), math.inf]
+    if len(splits) < 3:
+        splits = [-math.inf, 0.0, math.inf]
     out = None
     for other in others:
-        counts = _binned_counts(df, {other: bins}, F.col(period) == reference, F.col(period) == other)
-        one = _stability(counts, SCORE_EPSILON)
+        values = df.select(
+            ex.flag(F.col(period) == reference).alias("_r"), ex.flag(F.col(period) == other).alias("_a"),
+            plain_zero(score).alias("v0"),
+        )
+        one = _stability(_binned_counts(values, [other], [splits], outer=True), SCORE_EPSILON)
         out = one if out is None else out.unionByName(one)
     band = (
         F.when(F.col("psi") >= PSI_ALERT, "critico").when(F.col("psi") >= PSI_WARN, "alerta").otherwise("estable")

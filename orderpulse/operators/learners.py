@@ -114,7 +114,7 @@ def _estimator(spec: Spec, label: str, weight: str | None, total_weight: float):
         c = float(p.get("C", 1.0))
         return LogisticRegression(
             regParam=1.0 / (c * total_weight), elasticNetParam=float(p.get("l1_ratio", 0.0)), standardization=False,
-            maxIter=int(p.get("max_iter", 200)), tol=float(p.get("tol", 1e-6)), **common,
+            maxIter=int(p.get("max_iter", 200)), tol=float(p.get("tol", 1e-5)), **common,
         )
     if spec.kind == FOREST:
         return RandomForestClassifier(

@@ -73,16 +73,17 @@ def _bracketed(values, names, counts, probs, accuracy):
     One scan counts the values between brackets and keeps the distinct values
     inside, which are a few per mille of the rows however large the table is.
     """
-    # a sketch answer is at most n/accuracy ranks off; step out by twice that
-    slack = 2.0 / accuracy
-    asked = [q for p in probs for q in (max(0.0, p - slack), min(1.0, p + slack))]
     filled = [i for i in range(len(names)) if counts[i]]
+    # a sketch answer is at most n/accuracy ranks off: step out by twice that,
+    # and by two ranks for the neighbour that interpolation needs
+    slack = {i: 2.0 / accuracy + 2.0 / counts[i] for i in filled}
+    asked = {i: [q for p in probs for q in (max(0.0, p - slack[i]), min(1.0, p + slack[i]))] for i in filled}
     sketch = values.agg(
-        *[F.percentile_approx(f"v{i}", F.array(*map(F.lit, asked)), accuracy).alias(f"v{i}") for i in filled]
+        *[F.percentile_approx(f"v{i}", F.array(*map(F.lit, asked[i])), accuracy).alias(f"v{i}") for i in filled]
     ).first()
     splits, inside = {}, {}
     for i in filled:
-        spans = _intervals(sketch[f"v{i}"], slack, probs)
+        spans = _intervals(sketch[f"v{i}"], slack[i], probs)
         # ranges are closed, segments are open at the top: end at the next double
         ends = sorted({-math.inf, math.inf} | {x for lo, hi in spans for x in (lo, math.nextafter(hi, math.inf))})
         splits[i] = ends if len(ends) > 2 else [-math.inf, 0.0, math.inf]
