@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
@@ -136,12 +137,11 @@ def _lower_tail():
     Made inside a function, so it travels to executors by value.
     """
 
-    def tail(z):
-        import math
-
+    @F.pandas_udf(T.DoubleType())
+    def tail(z: pd.Series) -> pd.Series:
         return z.map(lambda v: None if v is None or v != v else 0.5 * math.erfc(-v / math.sqrt(2)))
 
-    return F.pandas_udf(tail, T.DoubleType(), functionType=F.PandasUDFType.SCALAR)
+    return tail
 
 
 def mann_whitney(df: DataFrame, value: str, first: Column, second: Column) -> DataFrame:

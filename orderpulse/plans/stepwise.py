@@ -132,7 +132,7 @@ def select_features(
     run(4, "univariante_method", [(str(t), *sel.by_univariate(aucs, features, t)) for t in sel.UNIVARIATE_THRESHOLDS])
     run(5, "variance_threshold_method", [(str(sel.VARIANCE_THRESHOLD), *sel.by_variance(train, features))])
     weights = measure.importances(features) if len(features) > min(sel.TOP_IMPORTANCES) else {}
-    run(6, "rf_importance_method", [(f"top_{n}", *sel.by_importance(weights, features, n)) for n in sel.TOP_IMPORTANCES])
+    run(6, "rf_importance_method [EXTRA]", [(f"top_{n}", *sel.by_importance(weights, features, n)) for n in sel.TOP_IMPORTANCES])
 
     table = data.table.sparkSession.createDataFrame([tuple(s) for s in steps], TABLE_SCHEMA)
     return Selection(features, table.drop("features_eliminadas"), sel.removed_detail(table))
