@@ -69,7 +69,7 @@ products_r AS (
   SELECT p_partkey AS product_id, p_brand AS product_category_name,
     length(p_name)::DOUBLE AS product_name_lenght,
     (length(p_name) + length(p_type))::DOUBLE AS product_description_lenght,
-    nullif(p_size % 8, 7)::DOUBLE AS product_photos_qty,
+    nullif(p_size % 16, 15)::DOUBLE AS product_photos_qty,
     nullif(p_size::DOUBLE * 100, 100) AS product_weight_g,
     p_size::DOUBLE AS product_length_cm, p_retailprice / 100 AS product_height_cm,
     (p_size + 1)::DOUBLE AS product_width_cm

@@ -145,7 +145,7 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
         F.col("p_brand").alias("product_category_name"),
         F.length("p_name").cast("double").alias("product_name_lenght"),
         (F.length("p_name") + F.length("p_type")).cast("double").alias("product_description_lenght"),
-        F.nullif(F.pmod(F.col("p_size"), F.lit(8)), F.lit(7)).cast("double").alias("product_photos_qty"),
+        F.nullif(F.pmod(F.col("p_size"), F.lit(16)), F.lit(15)).cast("double").alias("product_photos_qty"),
         F.nullif(size * 100, F.lit(100.0)).alias("product_weight_g"),
         size.alias("product_length_cm"),
         (F.col("p_retailprice") / 100).alias("product_height_cm"),
