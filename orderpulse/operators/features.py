@@ -66,18 +66,22 @@ def reviewed_orders_with_text(orders: DataFrame, reviews: DataFrame) -> DataFram
     return delivered_orders(orders).join(described, "order_id", "inner")
 
 
+def main_items(items: DataFrame) -> DataFrame:
+    """Seller and product of the most expensive item per order; item numbers break ties."""
+    order = [F.col("price").desc_nulls_last(), F.col("order_item_id"), F.col("product_id"), F.col("seller_id")]
+    return latest_per_key(
+        items.select("order_id", "price", "order_item_id", "product_id", "seller_id"), ["order_id"], order
+    ).select("order_id", "seller_id", "product_id")
+
+
 def summarize_items(items: DataFrame) -> DataFrame:
-    """Counts, prices and the main (most expensive) item per order, in one pass."""
-    main = F.min(
-        F.struct(
-            F.col("price").isNull().alias("unpriced"),
-            (-F.col("price")).alias("negated"),
-            F.col("order_item_id"),
-            F.col("product_id"),
-            F.col("seller_id"),
-        )
-    )
-    grouped = items.groupBy("order_id").agg(
+    """Counts, prices and the main item per order.
+
+    The sums stay in hash aggregation, the main item comes from a per-task
+    top-1; both end up partitioned by order, so joining them moves nothing.
+    """
+    price, freight = F.col("total_price"), F.col("total_freight_value")
+    sums = items.groupBy("order_id").agg(
         F.count("order_item_id").alias("order_item_count"),
         F.coalesce(F.sum("price"), F.lit(0.0)).alias("total_price"),
         F.coalesce(F.sum("freight_value"), F.lit(0.0)).alias("total_freight_value"),
@@ -85,39 +89,26 @@ def summarize_items(items: DataFrame) -> DataFrame:
         F.max("price").alias("max_price_item"),
         F.min("price").alias("min_price_item"),
         F.count_distinct("seller_id").alias("unique_sellers"),
-        main.alias("_main"),
-    )
-    return grouped.select(
-        *[c for c in grouped.columns if c != "_main"],
-        ex.ratio(
-            F.col("total_freight_value"), F.col("total_price") + F.col("total_freight_value")
-        ).alias("freight_ratio"),
-        F.col("_main.seller_id").alias("seller_id"),
-        F.col("_main.product_id").alias("product_id"),
     )
+    return sums.withColumn("freight_ratio", ex.ratio(freight, price + freight)).join(main_items(items), "order_id")
+
+
+def main_payments(payments: DataFrame) -> DataFrame:
+    """Type of the largest payment per order; payment numbers break ties."""
+    order = [F.col("payment_value").desc_nulls_last(), F.col("payment_sequential"), F.col("payment_type")]
+    return latest_per_key(
+        payments.select("order_id", "payment_value", "payment_sequential", "payment_type"), ["order_id"], order
+    ).select("order_id", "payment_type")
 
 
 def summarize_payments(payments: DataFrame) -> DataFrame:
-    """Paid value, instalments and the dominant (largest) payment type per order."""
-    main = F.min(
-        F.struct(
-            F.col("payment_value").isNull().alias("unvalued"),
-            (-F.col("payment_value")).alias("negated"),
-            F.col("payment_sequential"),
-            F.col("payment_type"),
-        )
-    )
-    return (
-        payments.groupBy("order_id")
-        .agg(
-            F.coalesce(F.sum("payment_value"), F.lit(0.0)).alias("payment_value"),
-            F.max("payment_installments").alias("payment_installments"),
-            F.count_distinct("payment_type").alias("payment_types_count"),
-            main.alias("_main"),
-        )
-        .withColumn("payment_type", F.col("_main.payment_type"))
-        .drop("_main")
+    """Paid value, instalments and the dominant payment type per order."""
+    sums = payments.groupBy("order_id").agg(
+        F.coalesce(F.sum("payment_value"), F.lit(0.0)).alias("payment_value"),
+        F.max("payment_installments").alias("payment_installments"),
+        F.count_distinct("payment_type").alias("payment_types_count"),
     )
+    return sums.join(main_payments(payments), "order_id")
 
 
 def add_time_features(base: DataFrame) -> DataFrame:

@@ -216,7 +216,7 @@ _MASTER_PLAIN = (
     FROM master, bounds"""))
 def master_features(spark, folder):
     tables = star.roles(spark, folder)
-    out = master.master_table(tables, tables["regions"], star.HIGH_RISK)
+    out = master.master_table(tables, tables["regions"], star.HIGH_RISK, keep_text=False)
     return rounded(out.select("order_id", *_MASTER_DOUBLES, *_MASTER_PLAIN, *ft.WINSOR_COLUMNS), DIGITS)
 
 

@@ -257,12 +257,12 @@ def latest_per_key(spark, folder):
 
 @Q.query("dominant_payment", R.sql(R.PAYMENT_SUMMARY, "SELECT * FROM main_payment"))
 def dominant_payment(spark, folder):
-    return ft.summarize_payments(star.payments(spark, folder)).select("order_id", "payment_type")
+    return ft.main_payments(star.payments(spark, folder))
 
 
 @Q.query("main_item", R.sql(R.ITEM_SUMMARY, "SELECT * FROM main_item"))
 def main_item(spark, folder):
-    return ft.summarize_items(star.items(spark, folder)).select("order_id", "seller_id", "product_id")
+    return ft.main_items(star.items(spark, folder))
 
 
 @Q.query(
