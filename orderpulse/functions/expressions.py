@@ -49,7 +49,8 @@ def whole_days_between(start: Column, end: Column) -> Column:
 
 
 def year_month(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM")
+    """Year and month as text, the same in every session time zone."""
+    return F.substring(ts.cast("string"), 1, 7)
 
 
 def clip(value: Column, lower, upper) -> Column:
@@ -73,10 +74,13 @@ def text_length(text: Column) -> Column:
 
 
 def try_timestamp(value: Column, fmt: str | None = None) -> Column:
-    """Parse a date, giving missing instead of an error on bad input."""
+    """Parse a date, giving missing instead of an error on bad input.
+
+    Dates carry no zone: spans between them never see a clock change.
+    """
     if fmt:
-        return F.try_to_timestamp(value, F.lit(fmt))
-    return value.try_cast("timestamp")
+        return F.try_to_timestamp(value, F.lit(fmt)).cast("timestamp_ntz")
+    return value.try_cast("timestamp_ntz")
 
 
 def try_number(value: Column, to: str = "double") -> Column:

@@ -303,6 +303,17 @@ def best_model(metrics: DataFrame, name: str, metric: str) -> DataFrame:
     return metrics.agg(F.min_by(name, F.struct(-F.col(metric), F.col(name))).alias("best"), F.max(metric).alias(metric))
 
 
+def compare_runs(base: DataFrame, tuned: DataFrame, name: str, metric: str) -> DataFrame:
+    """One metric of the models both runs have, side by side with its change."""
+    change = F.col("tuned") - F.col("base")
+    return (
+        base.select(name, F.col(metric).alias("base"))
+        .join(tuned.select(name, F.col(metric).alias("tuned")), name)
+        .withColumn("delta", change)
+        .orderBy(F.col("tuned").desc(), name)
+    )
+
+
 def _by_risk(df: DataFrame, by: Sequence[str], label: str, proba: str, key: str) -> DataFrame:
     """Rows from most to least risky (lowest probability of class 1 first)."""
     slim = df.select(*by, key, label, proba).withColumn(proba, plain_zero(F.col(proba)))

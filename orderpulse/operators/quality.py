@@ -121,14 +121,37 @@ def missing_shares(df: DataFrame, columns: Sequence[str] | None = None) -> dict[
 
 
 def schema_listing(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Table, ordinal, column and type of every column."""
-    spark = next(iter(tables.values())).sparkSession
-    rows = [
-        Row(tabla=name, ordinal=i, columna=f.name, tipo=f.dataType.simpleString())
-        for name, df in tables.items()
-        for i, f in enumerate(df.schema.fields, 1)
-    ]
-    return spark.createDataFrame(rows, "tabla string, ordinal int, columna string, tipo string")
+    """Table, ordinal, column, type and missing cells of every column."""
+    parts = []
+    for name, df in tables.items():
+        rows = [
+            F.struct(
+                F.lit(i).alias("ordinal"), F.lit(f.name).alias("columna"),
+                F.lit(f.dataType.simpleString()).alias("tipo"), F.count_if(F.col(f.name).isNull()).alias("nulos"),
+            )
+            for i, f in enumerate(df.schema.fields, 1)
+        ]
+        parts.append(df.agg(F.array(*rows).alias("m")).select(F.lit(name).alias("tabla"), F.inline("m")))
+    return reduce(lambda x, y: x.unionByName(y), parts)
+
+
+def stage_report(df: DataFrame, stage: str, table: str, label: str | None = None) -> DataFrame:
+    """Long-form report of a stage: shape, missing cells per column, label balance."""
+    cell = lambda column, metric, value: F.struct(
+        F.lit(column).cast("string").alias("column"), F.lit(metric).alias("metric"), value.cast("double").alias("value")
+    )
+    rows = [cell(None, "rows", F.count("*")), cell(None, "columns", F.lit(len(df.columns)))]
+    rows += [cell(c, "missing", F.count_if(F.col(c).isNull())) for c in df.columns]
+    if label:
+        rows += [
+            cell(label, "positive", F.count_if(F.col(label) == 1)),
+            cell(label, "negative", F.count_if(F.col(label) == 0)),
+            cell(label, "rate", F.avg(F.col(label).cast("double"))),
+        ]
+    long = df.agg(F.array(*rows).alias("m")).select(
+        F.lit(stage).alias("stage"), F.lit(table).alias("table"), F.inline("m")
+    )
+    return long.where("metric <> 'missing' OR value > 0")
 
 
 def first_rows(df: DataFrame, key: Sequence[str], n: int = 2) -> DataFrame:
@@ -144,35 +167,39 @@ def drop_listed(df: DataFrame, groups: Mapping[str, Sequence[str]] = DROP_GROUPS
     return df.drop(*[r.column_name for r in rows if r.dropped]), log
 
 
-def sparse_columns(df: DataFrame, threshold: float = 0.15) -> dict[str, float]:
+def missing_counts(df: DataFrame) -> tuple[int, dict[str, int]]:
+    """Row count, and missing cells of the columns that miss any."""
+    row = df.agg(F.count("*"), *[F.count_if(F.col(c).isNull()) for c in df.columns]).first()
+    return row[0], {c: row[i] for i, c in enumerate(df.columns, 1) if row[i]}
+
+
+def sparse_columns(df: DataFrame, threshold: float = 0.15, counts: tuple[int, dict[str, int]] | None = None) -> dict[str, float]:
     """Columns whose missing share exceeds the threshold."""
-    return {c: s for c, s in missing_shares(df).items() if s > threshold}
+    n, missing = counts or missing_counts(df)
+    return {c: m / n for c, m in missing.items() if m / n > threshold}
 
 
 def drop_sparse(df: DataFrame, threshold: float = 0.15) -> DataFrame:
     return df.drop(*sparse_columns(df, threshold))
 
 
-def _missing_counts(df: DataFrame) -> dict[str, int]:
-    row = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"c{i}") for i, c in enumerate(df.columns)]).first()
-    return {c: row[i] for i, c in enumerate(df.columns) if row[i]}
-
-
 def _types(df: DataFrame) -> dict[str, T.DataType]:
     return {f.name: f.dataType for f in df.schema.fields}
 
 
 def fit_imputation(
-    df: DataFrame, text_fill: str | None = UNKNOWN_TEXT, no_mode: str = "Unknown"
+    df: DataFrame, text_fill: str | None = UNKNOWN_TEXT, no_mode: str = "Unknown",
+    missing: Mapping[str, int] | None = None,
 ) -> dict[str, dict[str, object]]:
     """Fill value per column with missing cells.
 
     Numbers get the median; text gets a constant, or the most frequent value
-    when ``text_fill`` is None.
+    when ``text_fill`` is None.  Known missing counts save a pass.
     """
     from orderpulse.operators.aggregates import modes
 
-    missing, types = _missing_counts(df), _types(df)
+    types = _types(df)
+    missing = missing_counts(df)[1] if missing is None else {c: m for c, m in missing.items() if c in types}
     numbers = [c for c in missing if ex.is_numeric(types[c])]
     texts = [c for c in missing if isinstance(types[c], T.StringType)]
     fills: dict[str, dict[str, object]] = {}
@@ -294,6 +321,6 @@ def require_invariants(df: DataFrame, label: str = "satisfecho") -> DataFrame:
     """Raise with the failing checks and the columns that miss values."""
     failed = {r["check"]: r["violations"] for r in invariants(df, label).toLocalIterator() if r["violations"]}
     if failed:
-        columns = sorted(_missing_counts(df))
+        columns = sorted(missing_counts(df)[1])
         raise ValueError(f"invariants violated: {failed}; columns with missing cells: {columns}")
     return df

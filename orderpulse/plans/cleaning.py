@@ -34,9 +34,10 @@ def clean_master(
     imputation, so the fill text can itself be bucketed.
     """
     kept, dropped = qa.drop_listed(master, groups)
-    sparse = qa.sparse_columns(kept, sparse_threshold)
+    counts = qa.missing_counts(kept)
+    sparse = qa.sparse_columns(kept, sparse_threshold, counts)
     dense = kept.drop(*sparse)
-    fills = qa.fit_imputation(dense)
+    fills = qa.fit_imputation(dense, missing=counts[1])
     filled = qa.apply_imputation(dense, fills)
     present = [c for c in categories if c in filled.columns]
     table = qa.bucket_rare(filled, present, rare_threshold)

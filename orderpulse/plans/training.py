@@ -88,8 +88,13 @@ def train_baselines(
     sweep = mt.threshold_sweep(
         scores.where(F.col("split") == splits[1]), mt.GRID_BASELINE, ["model"], zero_degenerate=True
     )
-    board = mt.leaderboard(metrics.where(F.col("split") == splits[1]), "model")
-    return Baseline(models, scores, metrics, overfit, mt.best_threshold(sweep, ["model"]), board)
+    val = metrics.where(F.col("split") == splits[1])
+    thresholds = (
+        mt.best_threshold(sweep, ["model"])
+        .join(val.select("model", "f1_1"), "model")
+        .select("model", "threshold", "f1", (F.col("f1") - F.col("f1_1")).alias("delta_f1"), "precision", "recall")
+    )
+    return Baseline(models, scores, metrics, overfit, thresholds, mt.leaderboard(val, "model"))
 
 
 @dataclass

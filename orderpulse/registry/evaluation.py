@@ -239,6 +239,14 @@ def model_intersection(spark, folder):
     return first.intersect(m.where("period = 'Backtest' AND avg_prec >= 0.3").select("model"))
 
 
+@Q.query("baseline_vs_tuned", R.sql(RIVAL_METRICS, f"""SELECT b.model, {r('b.auc', 'base', 6)}, {r('t.auc', 'tuned', 6)},
+    {r('round(t.auc, 6) - round(b.auc, 6)', 'delta', 6)}
+    FROM metrics b JOIN metrics t ON b.model = t.model AND b.period = 'Val' AND t.period = 'Backtest'"""))
+def baseline_vs_tuned(spark, folder):
+    m = rounded(_rival_metrics(spark, folder).select("model", "period", "auc"), 6)
+    return rounded(mt.compare_runs(m.where("period = 'Val'"), m.where("period = 'Backtest'"), "model", "auc"), 6)
+
+
 @Q.query("cv_summary", R.sql(RIVALS + f""",
     folds AS (SELECT id, ((row_number() OVER (PARTITION BY label ORDER BY md5(id::VARCHAR || ':2357'), id) - 1) % 5)::INTEGER AS fold
       FROM scored),

@@ -35,10 +35,17 @@ def staged_features(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def explored(spark: SparkSession, folder: str) -> DataFrame:
-    """Every order with the exploration variant of the features."""
+    """Every order with the exploration variant of the features, built anew."""
     return ft.add_exploratory_features(master.exploratory_master(star.roles(spark, folder)))
 
 
+def staged_explored(spark: SparkSession, folder: str) -> DataFrame:
+    """The same without raw text, written once per application and shared."""
+    return _once(
+        spark, folder, "explored", lambda: stage(explored(spark, folder).drop("review_comment_message"), "explored")
+    )
+
+
 def cleaned(spark: SparkSession, folder: str) -> cleaning.Cleaned:
     """The winsorised features after cleaning."""
     return cleaning.clean_master(ft.winsorize(staged_features(spark, folder)))

@@ -84,21 +84,61 @@ def missing_report(spark, folder):
     return rounded(qa.missing_report(frames.staged_features(spark, folder).select(*_REPORTED)))
 
 
-_TYPES = {
-    "BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "TIMESTAMP": "timestamp_ntz",
-    "FLOAT[]": "array<float>",
+# Column names and types of the test tables.
+_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
 }
 
 
-@Q.query("schema_listing", f"""SELECT table_name AS tabla, ordinal_position::INTEGER AS ordinal, column_name AS columna,
-    CASE {' '.join(f"WHEN data_type = '{d}' THEN '{s}'" for d, s in _TYPES.items())}
-      WHEN data_type LIKE 'FLOAT%' THEN 'array<float>' WHEN data_type LIKE 'TIMESTAMP%' THEN 'timestamp_ntz'
-      ELSE data_type END AS tipo
-    FROM information_schema.columns WHERE table_name IN ({', '.join(f"'{t}'" for t in star.TABLES)})""")
+def _listing_sql() -> str:
+    parts = []
+    for t, columns in _SCHEMAS.items():
+        for i, column in enumerate(columns.split(", "), 1):
+            name, kind = column.split(" ")
+            parts.append(
+                f"SELECT '{t}' AS tabla, {i} AS ordinal, '{name}' AS columna, '{kind}' AS tipo, "
+                f"count(*) - count({name}) AS nulos FROM {t}"
+            )
+    return " UNION ALL ".join(parts)
+
+
+@Q.query("schema_listing", _listing_sql())
 def schema_listing(spark, folder):
     return qa.schema_listing(star.catalog(spark, folder))
 
 
+_REPORT = ("order_id", "total_price", "payment_value", "product_category_name_english", "satisfecho")
+
+
+@Q.query("stage_report", R.sql(R.MASTER, f"""SELECT 'features' AS stage, 'master' AS "table", * FROM (
+    SELECT NULL::VARCHAR AS "column", 'rows' AS metric, count(*)::DOUBLE AS value FROM master
+    UNION ALL SELECT NULL, 'columns', {len(_REPORT)}
+    {' '.join(f"UNION ALL SELECT '{c}', 'missing', (count(*) - count({c}))::DOUBLE FROM master" for c in _REPORT)}
+    UNION ALL SELECT 'satisfecho', 'positive', sum(satisfecho)::DOUBLE FROM master
+    UNION ALL SELECT 'satisfecho', 'negative', sum(1 - satisfecho)::DOUBLE FROM master
+    UNION ALL SELECT 'satisfecho', 'rate', round(avg(satisfecho), 4) FROM master)
+    WHERE metric <> 'missing' OR value > 0"""))
+def stage_report(spark, folder):
+    df = frames.staged_features(spark, folder).select(*_REPORT)
+    return rounded(qa.stage_report(df, "features", "master", "satisfecho"))
+
+
 @Q.query("first_rows", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders ORDER BY o_orderkey LIMIT 2")
 def first_rows(spark, folder):
     orders = star.table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")

@@ -12,14 +12,14 @@ from orderpulse.functions import expressions as ex
 # Column names and types of the nine raw tables.
 RAW_TABLES: dict[str, str] = {
     "orders": """order_id string, customer_id string, order_status string,
-        order_purchase_timestamp timestamp, order_approved_at timestamp,
-        order_delivered_carrier_date timestamp, order_delivered_customer_date timestamp,
-        order_estimated_delivery_date timestamp""",
+        order_purchase_timestamp timestamp_ntz, order_approved_at timestamp_ntz,
+        order_delivered_carrier_date timestamp_ntz, order_delivered_customer_date timestamp_ntz,
+        order_estimated_delivery_date timestamp_ntz""",
     "reviews": """review_id string, order_id string, review_score int,
         review_comment_title string, review_comment_message string,
-        review_creation_date timestamp, review_answer_timestamp timestamp""",
+        review_creation_date timestamp_ntz, review_answer_timestamp timestamp_ntz""",
     "items": """order_id string, order_item_id int, product_id string, seller_id string,
-        shipping_limit_date timestamp, price double, freight_value double""",
+        shipping_limit_date timestamp_ntz, price double, freight_value double""",
     "payments": """order_id string, payment_sequential int, payment_type string,
         payment_installments int, payment_value double""",
     "customers": """customer_id string, customer_unique_id string,
@@ -36,17 +36,24 @@ RAW_TABLES: dict[str, str] = {
 }
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame:
+# Tables whose quoted text may span lines.  Such files cannot be split between
+# tasks, so the other tables are read line by line.
+MULTILINE_TABLES = ("reviews",)
+
+
+def read_csv(
+    spark: SparkSession, path: str, schema: str | T.StructType | None = None, multiline: bool = False
+) -> DataFrame:
     """Read a CSV with a header.
 
     With a schema, columns are matched to the header by name and cast
     leniently: text that is not a number or date becomes missing.  Columns the
     schema does not name stay text, columns the file lacks are left out.
-    Quoted fields may span lines.
+    Set ``multiline`` when quoted fields span lines.
     """
     text = (
         spark.read.option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", multiline)
         .option("escape", '"')
         .option("inferSchema", False)
         .csv(path)
@@ -73,11 +80,12 @@ def read_table(
     fmt: str = "csv",
     schema: str | T.StructType | None = None,
     required: bool = True,
+    multiline: bool = False,
 ) -> DataFrame | None:
     """One table; a missing path raises when required and gives None otherwise."""
     try:
         if fmt == "csv":
-            return read_csv(spark, path, schema)
+            return read_csv(spark, path, schema, multiline)
         return spark.read.format(fmt).load(path)
     except AnalysisException as err:
         if required or "PATH_NOT_FOUND" not in str(err):
@@ -93,6 +101,7 @@ def load_catalog(
     files: Mapping[str, str] | None = None,
     required: bool = True,
     views: bool = False,
+    multiline: Iterable[str] = MULTILINE_TABLES,
 ) -> dict[str, DataFrame]:
     """Every named table found under a folder, optionally as temp views too."""
     schemas = tables if isinstance(tables, Mapping) else {name: None for name in tables}
@@ -100,7 +109,7 @@ def load_catalog(
     found: dict[str, DataFrame] = {}
     for name, schema in schemas.items():
         path = f"{folder.rstrip('/')}/{names.get(name, f'{name}.{fmt}')}"
-        table = read_table(spark, path, fmt, schema, required)
+        table = read_table(spark, path, fmt, schema, required, name in multiline)
         if table is not None:
             found[name] = table
             if views:

@@ -69,3 +69,15 @@ def test_map_values_and_whole_or_zero(spark):
     df = spark.createDataFrame([("SP", "3"), ("??", "x"), (None, None)], "s string, n string").coalesce(1)
     assert values(df, ex.map_values(F.col("s"), {"SP": "sudeste"}, "outro")) == ["sudeste", "outro", "outro"]
     assert values(df, ex.whole_or_zero(F.col("n").try_cast("int"))) == [3, 0, 0]
+
+
+def test_dates_do_not_see_clock_changes(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        df = spark.createDataFrame([("2017-10-14 12:00:00", "2017-10-15 12:00:00")], "a string, b string")
+        a, b = ex.try_timestamp(F.col("a")), ex.try_timestamp(F.col("b"))
+        assert values(df, ex.days_between(a, b)) == [1.0]
+        assert values(df, ex.year_month(b)) == ["2017-10"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

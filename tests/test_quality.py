@@ -101,5 +101,14 @@ def test_duplicate_count_treats_missing_as_equal(spark):
 def test_schema_listing_and_first_rows(spark):
     df = spark.range(5).select("id", F.lit("x").alias("s"))
     rows = qa.schema_listing({"t": df}).collect()
-    assert [(r.tabla, r.ordinal, r.columna, r.tipo) for r in rows] == [("t", 1, "id", "bigint"), ("t", 2, "s", "string")]
+    assert [tuple(r) for r in rows] == [("t", 1, "id", "bigint", 0), ("t", 2, "s", "string", 0)]
     assert [r.id for r in qa.first_rows(df.orderBy(F.desc("id")), ["id"]).collect()] == [0, 1]
+
+
+def test_stage_report_is_long_form(spark):
+    df = spark.createDataFrame([(1, 1), (None, 0), (3, 1)], "x int, satisfecho int")
+    rows = {(r.column, r.metric): r.value for r in qa.stage_report(df, "s", "t", "satisfecho").collect()}
+    assert rows == {
+        (None, "rows"): 3.0, (None, "columns"): 2.0, ("x", "missing"): 1.0, ("satisfecho", "positive"): 2.0,
+        ("satisfecho", "negative"): 1.0, ("satisfecho", "rate"): pytest.approx(2 / 3),
+    }

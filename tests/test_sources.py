@@ -46,7 +46,7 @@ def test_other_file_names_and_formats(spark, tmp_path):
 def test_csv_sink_round_trips_text(spark, tmp_path):
     df = spark.createDataFrame([(1, 'a "b", c\nd'), (2, None)], "k int, t string")
     sinks.write_table(df, f"{tmp_path}/t.csv", "csv")
-    back = catalog.read_csv(spark, f"{tmp_path}/t.csv", "k int, t string")
+    back = catalog.read_csv(spark, f"{tmp_path}/t.csv", "k int, t string", multiline=True)
     assert sorted(back.collect()) == sorted(df.collect())
 
 
