@@ -11,8 +11,8 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, functions as F, types as T
 
-DAY_MICROS = 86_400_000_000
-HOUR_MICROS = 3_600_000_000
+DAY_SECONDS = 86_400.0
+HOUR_SECONDS = 3_600.0
 
 
 def flag(condition: Column) -> Column:
@@ -30,17 +30,19 @@ def guarded_ratio(numerator: Column, denominator: Column, guard: float = 1e-9) -
     return numerator / (denominator + F.lit(guard))
 
 
-def _micros_between(start: Column, end: Column) -> Column:
-    return F.timestamp_diff("MICROSECOND", start, end)
+def _seconds_between(start: Column, end: Column) -> Column:
+    """Wall-clock seconds, untouched by clock changes of any session zone."""
+    span = end.cast("timestamp_ntz") - start.cast("timestamp_ntz")
+    return span.cast("interval second").cast("decimal(24,6)").cast("double")
 
 
 def days_between(start: Column, end: Column) -> Column:
     """Signed fractional days from start to end."""
-    return _micros_between(start, end) / F.lit(float(DAY_MICROS))
+    return _seconds_between(start, end) / F.lit(DAY_SECONDS)
 
 
 def hours_between(start: Column, end: Column) -> Column:
-    return _micros_between(start, end) / F.lit(float(HOUR_MICROS))
+    return _seconds_between(start, end) / F.lit(HOUR_SECONDS)
 
 
 def whole_days_between(start: Column, end: Column) -> Column:

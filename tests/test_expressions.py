@@ -78,6 +78,10 @@ def test_dates_do_not_see_clock_changes(spark):
         df = spark.createDataFrame([("2017-10-14 12:00:00", "2017-10-15 12:00:00")], "a string, b string")
         a, b = ex.try_timestamp(F.col("a")), ex.try_timestamp(F.col("b"))
         assert values(df, ex.days_between(a, b)) == [1.0]
+        assert values(df, ex.hours_between(a, b)) == [24.0]
+        # half past midnight did not exist on that day
+        gap = spark.createDataFrame([("2017-10-15 00:30:00", "2017-10-15 02:00:00")], "a string, b string")
+        assert values(gap, ex.hours_between(a, b)) == [1.5]
         assert values(df, ex.year_month(b)) == ["2017-10"]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
