@@ -116,7 +116,14 @@ def brier(df: DataFrame, by: Sequence[str] = (), label: str = "label", proba: st
     return df.groupBy(*by).agg(F.avg(gap * gap).alias("brier"))
 
 
-def _score_totals(df: DataFrame, by: Sequence[str], label: str, proba: str) -> DataFrame:
+def score_totals(
+    df: DataFrame, by: Sequence[str] = (), label: str = "label", proba: str = "proba"
+) -> DataFrame:
+    """Positives and negatives per distinct score with their running totals.
+
+    The rank metrics and both curves follow from this table; stage it and pass
+    it as ``totals`` when several of them are wanted.
+    """
     return running_totals(
         df, proba, {"pos": ex.flag(F.col(label) == 1), "neg": ex.flag(F.col(label) == 0)}, by=by
     )
@@ -137,19 +144,25 @@ def _rank_aggregates() -> dict[str, Column]:
     }
 
 
-def rank_metrics(df: DataFrame, by: Sequence[str] = (), label: str = "label", proba: str = "proba") -> DataFrame:
+def rank_metrics(
+    df: DataFrame, by: Sequence[str] = (), label: str = "label", proba: str = "proba", totals: DataFrame | None = None
+) -> DataFrame:
     """Exact AUC (ties count half), Gini and step average precision; one class gives no AUC."""
-    found = _score_totals(df, by, label, proba).groupBy(*by).agg(
+    totals = totals if totals is not None else score_totals(df, by, label, proba)
+    found = totals.groupBy(*by).agg(
         *[c.alias(n) for n, c in _rank_aggregates().items()]
     )
     return found.select(*by, "auc", (2 * F.col("auc") - 1).alias("gini"), "avg_prec")
 
 
 def all_metrics(
-    df: DataFrame, by: Sequence[str], threshold: float = 0.5, label: str = "label", proba: str = "proba"
+    df: DataFrame, by: Sequence[str], threshold: float = 0.5, label: str = "label", proba: str = "proba",
+    totals: DataFrame | None = None,
 ) -> DataFrame:
     """Every score of a group in one row: cells, class, imbalance, Brier and rank metrics."""
     keys = list(by) or ["_all"]
+    if totals is not None and not by:
+        totals = totals.withColumn("_all", F.lit(1))
     source = df if by else df.withColumn("_all", F.lit(1))
     pred = ex.flag(F.col(proba) >= F.lit(threshold))
     gap = F.col(proba) - F.col(label)
@@ -160,13 +173,15 @@ def all_metrics(
         F.avg(F.col(label).cast("double")).alias("target_rate"),
     )
     scores = cells.withColumns(class_scores() | imbalance_scores())
-    out = scores.join(rank_metrics(source, keys, label, proba), keys, "left")
+    out = scores.join(rank_metrics(source, keys, label, proba, totals), keys, "left")
     return out if by else out.drop("_all")
 
 
-def roc_points(df: DataFrame, by: Sequence[str] = (), label: str = "label", proba: str = "proba") -> DataFrame:
+def roc_points(
+    df: DataFrame, by: Sequence[str] = (), label: str = "label", proba: str = "proba", totals: DataFrame | None = None
+) -> DataFrame:
     """False and true positive rate per distinct threshold, plus the origin."""
-    totals = _score_totals(df, by, label, proba)
+    totals = totals if totals is not None else score_totals(df, by, label, proba)
     tp = F.col("pos_all") - F.col("pos_cum") + F.col("pos")
     fp = F.col("neg_all") - F.col("neg_cum") + F.col("neg")
     points = totals.select(
@@ -179,9 +194,11 @@ def roc_points(df: DataFrame, by: Sequence[str] = (), label: str = "label", prob
     return points.unionByName(origin)
 
 
-def pr_points(df: DataFrame, by: Sequence[str] = (), label: str = "label", proba: str = "proba") -> DataFrame:
+def pr_points(
+    df: DataFrame, by: Sequence[str] = (), label: str = "label", proba: str = "proba", totals: DataFrame | None = None
+) -> DataFrame:
     """Precision and recall per distinct threshold, plus the closing (1, 0) point."""
-    totals = _score_totals(df, by, label, proba)
+    totals = totals if totals is not None else score_totals(df, by, label, proba)
     tp = F.col("pos_all") - F.col("pos_cum") + F.col("pos")
     fp = F.col("neg_all") - F.col("neg_cum") + F.col("neg")
     points = totals.select(
@@ -314,8 +331,14 @@ def compare_runs(base: DataFrame, tuned: DataFrame, name: str, metric: str) -> D
     )
 
 
-def _by_risk(df: DataFrame, by: Sequence[str], label: str, proba: str, key: str) -> DataFrame:
-    """Rows from most to least risky (lowest probability of class 1 first)."""
+def risk_order(
+    df: DataFrame, by: Sequence[str] = (), label: str = "label", proba: str = "proba", key: str = "id"
+) -> DataFrame:
+    """Rows numbered from most to least risky (lowest probability of class 1 first).
+
+    Lift and gains follow from this table; pass it as ``ranked`` when several of
+    them are wanted.
+    """
     slim = df.select(*by, key, label, proba).withColumn(proba, plain_zero(F.col(proba)))
     return positions(
         slim, [F.col(proba), F.col(key)], by=by, sums={"unsatisfied": ex.flag(F.col(label) == 0)}
@@ -323,10 +346,11 @@ def _by_risk(df: DataFrame, by: Sequence[str], label: str, proba: str, key: str)
 
 
 def lift_by_decile(
-    df: DataFrame, by: Sequence[str] = (), label: str = "label", proba: str = "proba", key: str = "id"
+    df: DataFrame, by: Sequence[str] = (), label: str = "label", proba: str = "proba", key: str = "id",
+    ranked: DataFrame | None = None,
 ) -> DataFrame:
     """Clients, unsatisfied, their share and lift per tenth of the risk order."""
-    ranked = _by_risk(df, by, label, proba, key)
+    ranked = ranked if ranked is not None else risk_order(df, by, label, proba, key)
     index = F.col("pos") - 1
     decile = F.when(F.col("n") > 1, F.greatest(F.lit(1), F.ceil(index * DECILES / (F.col("n") - 1)))).otherwise(1)
     base = F.max("unsatisfied_all") / F.max("n")
@@ -340,12 +364,14 @@ def lift_by_decile(
 
 
 def cumulative_lift(
-    df: DataFrame, by: Sequence[str] = (), label: str = "label", proba: str = "proba", key: str = "id"
+    df: DataFrame, by: Sequence[str] = (), label: str = "label", proba: str = "proba", key: str = "id",
+    ranked: DataFrame | None = None,
 ) -> DataFrame:
     """Lift of the riskiest 10, 20, ... 100 percent; 0 when nobody is unsatisfied."""
     keys = list(by) or ["_all"]
-    source = df if by else df.withColumn("_all", F.lit(1))
-    ranked = _by_risk(source, keys, label, proba, key)
+    ranked = ranked if ranked is not None else risk_order(df, by, label, proba, key)
+    if not by:
+        ranked = ranked.withColumn("_all", F.lit(1))
     # the first tenth whose cut floor(n * i / 10) reaches this position
     tenth = F.expr(f"(pos * {DECILES} + n - 1) div n")
     counts = ranked.groupBy(*keys, tenth.cast("int").alias("i")).agg(
@@ -371,10 +397,11 @@ def cumulative_lift(
 
 
 def cumulative_gains(
-    df: DataFrame, by: Sequence[str] = (), label: str = "label", proba: str = "proba", key: str = "id"
+    df: DataFrame, by: Sequence[str] = (), label: str = "label", proba: str = "proba", key: str = "id",
+    ranked: DataFrame | None = None,
 ) -> DataFrame:
     """Share of clients contacted and of unsatisfied clients reached, row by row."""
-    ranked = _by_risk(df, by, label, proba, key)
+    ranked = ranked if ranked is not None else risk_order(df, by, label, proba, key)
     return ranked.select(
         *by, key, "pos",
         (F.col("pos") / F.col("n") * 100).alias("pct_population"),

@@ -20,20 +20,23 @@ def backtest_tables(
 ) -> dict[str, DataFrame]:
     """Every table behind a backtest, from (key, period, label, proba) rows."""
     last = scored.where(F.col(by) == others[-1])
+    # shared by three tables each: computed once
+    totals = stage(mt.score_totals(scored, [by]), "totals")
+    ranked = stage(mt.risk_order(last, key=key), "ranked")
     sweep = mt.threshold_sweep(scored, mt.GRID_BACKTEST, [by])
     return {
-        "metrics": mt.all_metrics(scored, [by]),
+        "metrics": mt.all_metrics(scored, [by], totals=totals),
         "confusion": mt.confusion_long(mt.confusion(scored, [by]), [by]),
-        "roc": mt.roc_points(scored, [by]),
-        "pr": mt.pr_points(scored, [by]),
+        "roc": mt.roc_points(scored, [by], totals=totals),
+        "pr": mt.pr_points(scored, [by], totals=totals),
         "psi": drift.score_psi(scored, "proba", by, reference, others),
         "ks": drift.ks_statistics(scored, "proba", by, reference, others),
         "calibration": mt.calibration_curve(last),
         "thresholds": mt.best_threshold(sweep, [by], pos_label=0),
         "histogram": ag.value_histogram(scored, "proba", 0.0, 1.0, 40, "label"),
-        "lift": mt.lift_by_decile(last, key=key),
-        "cumulative_lift": mt.cumulative_lift(last, key=key),
-        "gains": mt.cumulative_gains(last, key=key),
+        "lift": mt.lift_by_decile(last, key=key, ranked=ranked),
+        "cumulative_lift": mt.cumulative_lift(last, key=key, ranked=ranked),
+        "gains": mt.cumulative_gains(last, key=key, ranked=ranked),
     }
 
 
@@ -48,16 +51,18 @@ def batch_report(
     """
     rows = batch.select(key, F.col(label).alias("label"), *model.features)
     scored = stage(model.score(rows).select(key, "label", "proba"), "batch")
-    metrics = mt.all_metrics(scored, [])
+    totals = stage(mt.score_totals(scored), "totals")
+    ranked = stage(mt.risk_order(scored, key=key), "ranked")
+    metrics = mt.all_metrics(scored, [], totals=totals)
     trend = sinks.append_history(batch.sparkSession, history, metrics.select("n", "auc", "accuracy", "f1_0"), timestamp)
     out = {
         "scored": mt.scored_predictions(scored, key=key),
         "metrics": metrics,
         "confusion": mt.confusion_long(mt.confusion(scored)),
-        "roc": mt.roc_points(scored),
-        "pr": mt.pr_points(scored),
-        "cumulative_lift": mt.cumulative_lift(scored, key=key),
-        "gains": mt.cumulative_gains(scored, key=key),
+        "roc": mt.roc_points(scored, totals=totals),
+        "pr": mt.pr_points(scored, totals=totals),
+        "cumulative_lift": mt.cumulative_lift(scored, key=key, ranked=ranked),
+        "gains": mt.cumulative_gains(scored, key=key, ranked=ranked),
         "histogram": ag.value_histogram(scored, "proba", 0.0, 1.0, 30, "label"),
         "trend": sinks.history_trend(trend),
     }
