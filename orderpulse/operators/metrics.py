@@ -17,6 +17,9 @@ from orderpulse.operators.ordering import plain_zero, positions, running_totals
 
 DECILES = 10
 
+# Label texts in scored exports.
+SATISFIED, UNSATISFIED = "Satisfecho", "Insatisfecho"
+
 
 def spaced(start: float, stop: float, num: int) -> list[float]:
     """Evenly spaced thresholds including both ends."""
@@ -413,7 +416,7 @@ def scored_predictions(
     df: DataFrame, threshold: float = 0.5, label: str = "label", proba: str = "proba", key: str = "id"
 ) -> DataFrame:
     """Rows with real and predicted labels at 0.5 and at a tuned threshold, errors first."""
-    text = lambda c: F.when(c == 1, "Satisfecho").otherwise("Insatisfecho")
+    text = lambda c: F.when(c == 1, SATISFIED).otherwise(UNSATISFIED)
     p05, pt, y = ex.flag(F.col(proba) >= 0.5), ex.flag(F.col(proba) >= F.lit(threshold)), F.col(label)
     return df.select(
         *[c for c in df.columns if c not in (label, proba)],

@@ -64,7 +64,7 @@ def profile_all(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def quality_alerts(profiles: DataFrame) -> DataFrame:
-    """Status and alert text per profiled table."""
+    """Status (OK or REVISAR) and alert text per profiled table."""
     parts = F.concat_ws(
         " | ",
         F.when(F.col("duplicados") > 0, F.concat(F.col("duplicados").cast("string"), F.lit(" duplicados"))),
@@ -209,7 +209,7 @@ def fit_imputation(
     common: dict[str, str] = {}
     if texts and text_fill is None:
         # one row per column
-        common = {row["feature"]: row["mode"] for row in modes(df, texts).toLocalIterator()}
+        common = {row["feature"]: row["mode"] for row in modes(df, texts).collect()}
     for c in texts:
         kind = "constante" if text_fill is not None else "moda"
         value = text_fill if text_fill is not None else common.get(c, no_mode)
@@ -278,7 +278,7 @@ def bucket_rare(
     if not present:
         return df
     kept: dict[str, list[str]] = {c: [] for c in present}
-    for row in _with_share(category_counts(df, present)).where(F.col("share") >= threshold).toLocalIterator():
+    for row in _with_share(category_counts(df, present)).where(F.col("share") >= threshold).collect():
         kept[row["column"]].append(row["category"])
     return df.withColumns(
         {
@@ -319,7 +319,7 @@ def invariants(
 
 def require_invariants(df: DataFrame, label: str = "satisfecho") -> DataFrame:
     """Raise with the failing checks and the columns that miss values."""
-    failed = {r["check"]: r["violations"] for r in invariants(df, label).toLocalIterator() if r["violations"]}
+    failed = {r["check"]: r["violations"] for r in invariants(df, label).collect() if r["violations"]}
     if failed:
         columns = sorted(missing_counts(df)[1])
         raise ValueError(f"invariants violated: {failed}; columns with missing cells: {columns}")

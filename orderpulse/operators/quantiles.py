@@ -132,7 +132,7 @@ def _bracketed(values, names, counts, probs, accuracy):
     hit = F.exists(F.element_at(ranks, F.col("i")), lambda k: (F.col("lo") <= k) & (k < F.col("hi")))
     found = {i: [] for i in filled}
     # at most two rows per column and probability
-    for row in ranked.where(hit).toLocalIterator():
+    for row in ranked.where(hit).collect():
         found[row["i"]].append((row["lo"], row["hi"], row["v"]))
     return {
         name: [_interpolate(found.get(i), counts[i], p, name) for p in probs] for i, name in enumerate(names)

@@ -53,13 +53,13 @@ def by_psi(psi: Mapping[str, float], features: Sequence[str], threshold: float =
 def psi_values(
     df: DataFrame, features: Sequence[str], reference: Column, actual: Column, bins: int = PSI_BINS
 ) -> dict[str, float]:
-    return {r["feature"]: r["psi"] for r in drift.feature_psi(df, features, reference, actual, bins).toLocalIterator()}
+    return {r["feature"]: r["psi"] for r in drift.feature_psi(df, features, reference, actual, bins).collect()}
 
 
 def correlation_values(df: DataFrame, features: Sequence[str]) -> dict[tuple[str, str], float]:
     if len(features) < 2:
         return {}
-    return {(r["a"], r["b"]): r["r"] for r in ag.correlations(df, features).toLocalIterator() if r["r"] is not None}
+    return {(r["a"], r["b"]): r["r"] for r in ag.correlations(df, features).collect() if r["r"] is not None}
 
 
 def by_correlation(
@@ -112,7 +112,7 @@ def by_variance(
 ) -> tuple[Names, Names]:
     if not features:
         return [], []
-    low = {r["feature"] for r in variances(df, features).toLocalIterator() if not r["variance"] > threshold}
+    low = {r["feature"] for r in variances(df, features).collect() if not r["variance"] > threshold}
     return _partition(features, low)
 
 

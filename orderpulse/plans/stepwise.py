@@ -3,17 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Row, functions as F
 
 from orderpulse.operators import learners as ln, metrics as mt, selection as sel
 from orderpulse.plans.dataset import Dataset
+from orderpulse.sources.staging import stage
 
 # The forests that judge candidates and single features.
 JUDGE = ln.Spec(ln.FOREST, {"n_estimators": 100, "max_depth": 6, "class_weight": "balanced", "seed": 42})
 SINGLE = ln.Spec(ln.FOREST, {"n_estimators": 30, "max_depth": 3, "class_weight": "balanced", "seed": 42})
 
+# Step names and columns of the selection table.
+START = "Estado_Inicial"
+STEPS = (
+    "missing_variable_method", "PSI_method", "correlation_method", "univariante_method", "variance_threshold_method",
+    "rf_importance_method [EXTRA]",
+)
 METRICS = (("auc", "auc"), ("acc", "accuracy"), ("rec", "recall_1"), ("prec", "prec_1"), ("f1", "f1_1"), ("gini", "gini"))
 TABLE_SCHEMA = (
     "paso int, metodo string, threshold string, n_features int, "
@@ -30,35 +38,48 @@ class Selection:
 
 
 class _Judge:
-    """Trains the judging forest once per feature set and remembers its metrics."""
+    """Trains the judging forest once per feature set and remembers its metrics.
+
+    The candidates of one step are fitted side by side and measured together.
+    """
 
-    def __init__(self, data: Dataset, spec: ln.Spec, split: tuple[str, str]):
-        self.data, self.spec, self.split = data, spec, split
+    def __init__(self, data: Dataset, spec: ln.Spec, split: tuple[str, str], parallelism: int = 4):
+        self.data, self.spec, self.split, self.parallelism = data, spec, split, parallelism
         self.seen: dict[tuple[str, ...], dict[str, float | None]] = {}
 
     def rows(self) -> tuple[DataFrame, DataFrame]:
         return self.data.part(self.split[0]), self.data.part(*self.split)
 
-    def __call__(self, features: Sequence[str]) -> dict[str, float | None]:
-        train, both = self.rows()
-        key = tuple(sorted(features))
-        if key not in self.seen:
-            usable = sel.nonconstant(train, list(features))
-            self.seen[key] = self._measure(usable, train, both) if usable else {}
-        return self.seen[key]
-
-    def _measure(self, features, train, both) -> dict[str, float | None]:
+    def __call__(self, sets: Sequence[Sequence[str]]) -> list[dict[str, float | None]]:
+        keys = [tuple(sorted(s)) for s in sets]
+        fresh = {k: list(s) for k, s in zip(keys, sets) if k not in self.seen}
+        if fresh:
+            train, both = self.rows()
+            varied = set(sel.nonconstant(train, sorted({f for s in fresh.values() for f in s})))
+            usable = {k: [f for f in s if f in varied] for k, s in fresh.items()}
+            self.seen |= {k: {} for k, s in usable.items() if not s}
+            self._measure({k: s for k, s in usable.items() if s}, train, both)
+        return [self.seen[k] for k in keys]
+
+    def _measure(self, sets: dict[tuple[str, ...], list[str]], train: DataFrame, both: DataFrame) -> None:
+        if not sets:
+            return
         d = self.data
-        model = ln.fit(self.spec, train, features, d.label, d.key)
-        scored = model.score(both.select(d.key, "split", F.col(d.label).alias("label"), *features))
-        rows = mt.all_metrics(scored.select("split", "label", "proba"), ["split"]).toLocalIterator()
-        out: dict[str, float | None] = {}
-        for row in rows:  # one per split
+        with ThreadPoolExecutor(self.parallelism) as pool:
+            models = list(pool.map(lambda s: ln.fit(self.spec, train, s, d.label, d.key), sets.values()))
+        scored = None
+        for i, model in enumerate(models):
+            rows = both.select("split", F.col(d.label).alias("label"), *model.features)
+            part = model.score(rows).select(F.lit(i).alias("candidate"), "split", "label", "proba")
+            scored = part if scored is None else scored.unionByName(part)
+        found = {k: {} for k in sets}
+        names = list(sets)
+        for row in mt.all_metrics(stage(scored, "candidates"), ["candidate", "split"]).collect():
             side = "train" if row["split"] == self.split[0] else "val"
             for name, column in METRICS:
                 value = row[column]
-                out[f"{name}_{side}"] = None if value is None else round(value, 4)
-        return out
+                found[names[row["candidate"]]][f"{name}_{side}"] = None if value is None else round(value, 4)
+        self.seen |= found
 
     def importances(self, features: Sequence[str]) -> dict[str, float]:
         train, _ = self.rows()
@@ -80,7 +101,7 @@ def forest_aucs(data: Dataset, features: Sequence[str], split: tuple[str, str],
         scored = part if scored is None else scored.unionByName(part)
     found: dict[str, float | None] = {f: None for f in features}
     if scored is not None:
-        for row in mt.rank_metrics(scored, ["feature"]).toLocalIterator():
+        for row in mt.rank_metrics(scored, ["feature"]).collect():
             found[row["feature"]] = None if row["auc"] is None else round(row["auc"], 4)
     return found
 
@@ -88,7 +109,7 @@ def forest_aucs(data: Dataset, features: Sequence[str], split: tuple[str, str],
 def rank_aucs(data: Dataset, features: Sequence[str], split: tuple[str, str]) -> dict[str, float | None]:
     """Forest-free variant: the rank AUC of the raw feature, in one pass."""
     found: dict[str, float | None] = {f: None for f in features}
-    for row in sel.univariate_auc(data.part(split[1]), list(features), data.label).toLocalIterator():
+    for row in sel.univariate_auc(data.part(split[1]), list(features), data.label).collect():
         found[row["feature"]] = row["auc"]
     return found
 
@@ -110,29 +131,30 @@ def select_features(
     train, both = measure.rows()
     features = list(data.features)
     steps: list[Row] = []
-    first = measure(features)
+    first = measure([features])[0]
     reference = first.get("auc_val")
-    steps.append(_row(0, "Estado_Inicial", "-", features, [], first, True))
+    steps.append(_row(0, START, "-", features, [], first, True))
 
-    def run(step: int, method: str, candidates: list[tuple[str, list[str], list[str]]]) -> None:
+    def run(step: int, candidates: list[tuple[str, list[str], list[str]]]) -> None:
         nonlocal features, reference
-        found = [measure(kept) for _, kept, _ in candidates]
+        method = STEPS[step - 1]
+        found = measure([kept for _, kept, _ in candidates])
         winner = sel.pick([m.get("auc_val") for m in found], [len(c[1]) for c in candidates], reference, tolerance)
         for i, ((threshold, kept, removed), m) in enumerate(zip(candidates, found)):
             steps.append(_row(step, method, threshold, kept, removed, m, i == winner))
         if winner is not None:
             features, reference = candidates[winner][1], found[winner]["auc_val"]
 
-    run(1, "missing_variable_method", [(str(t), *sel.by_missing(train, features, t)) for t in sel.MISSING_THRESHOLDS])
+    run(1, [(str(t), *sel.by_missing(train, features, t)) for t in sel.MISSING_THRESHOLDS])
     psi = sel.psi_values(both, features, F.col("split") == split[0], F.col("split") == split[1])
-    run(2, "PSI_method", [(f">{sel.PSI_THRESHOLD}_bins={sel.PSI_BINS}", *sel.by_psi(psi, features))])
+    run(2, [(f">{sel.PSI_THRESHOLD}_bins={sel.PSI_BINS}", *sel.by_psi(psi, features))])
     r = sel.correlation_values(train, features)
-    run(3, "correlation_method", [(str(t), *sel.by_correlation(r, features, t)) for t in sel.CORRELATION_THRESHOLDS])
+    run(3, [(str(t), *sel.by_correlation(r, features, t)) for t in sel.CORRELATION_THRESHOLDS])
     aucs = univariate(data, features, split)
-    run(4, "univariante_method", [(str(t), *sel.by_univariate(aucs, features, t)) for t in sel.UNIVARIATE_THRESHOLDS])
-    run(5, "variance_threshold_method", [(str(sel.VARIANCE_THRESHOLD), *sel.by_variance(train, features))])
+    run(4, [(str(t), *sel.by_univariate(aucs, features, t)) for t in sel.UNIVARIATE_THRESHOLDS])
+    run(5, [(str(sel.VARIANCE_THRESHOLD), *sel.by_variance(train, features))])
     weights = measure.importances(features) if len(features) > min(sel.TOP_IMPORTANCES) else {}
-    run(6, "rf_importance_method [EXTRA]", [(f"top_{n}", *sel.by_importance(weights, features, n)) for n in sel.TOP_IMPORTANCES])
+    run(6, [(f"top_{n}", *sel.by_importance(weights, features, n)) for n in sel.TOP_IMPORTANCES])
 
     table = data.table.sparkSession.createDataFrame([tuple(s) for s in steps], TABLE_SCHEMA)
     return Selection(features, table.drop("features_eliminadas"), sel.removed_detail(table))

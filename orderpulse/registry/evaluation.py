@@ -405,7 +405,7 @@ def linear_frame(spark, folder):
     z = pr.standardize(df, LINEAR)
     train = z.where("split = 'train'")
     weights = {
-        row["feature"]: row["r"] for row in rounded(ag.correlation_with(train, "satisfecho", LINEAR), 6).toLocalIterator()
+        row["feature"]: row["r"] for row in rounded(ag.correlation_with(train, "satisfecho", LINEAR), 6).collect()
     }
     return z, {c: weights[c] for c in LINEAR}
 
