@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -155,15 +156,18 @@ def _fit_calibrated(spec, data, features, label, key, weight) -> Fitted:
     method = spec.params.get("calibration_method", "sigmoid")
     # every SVM iterates over the folds many times: write them once
     folds = stage(stratified_folds(data, label, key, CALIBRATION_FOLDS), "calibration")
-    margin = VectorSlicer(inputCol="_raw", outputCol="_m", indices=[1])
-    parts = []
-    for k in range(CALIBRATION_FOLDS):
+
+    def part(k: int) -> PipelineModel:
         seen, held = folds.where(F.col("fold") != k), folds.where(F.col("fold") == k)
+        margin = VectorSlicer(inputCol="_raw", outputCol="_m", indices=[1])
         svm = Pipeline(
             stages=[_assembler(features), _estimator(spec, label, weight, float(seen.count())), margin]
         ).fit(seen)
         tail = _calibrator(method, label).fit(svm.transform(held).select(label, "_m"))
-        parts.append(PipelineModel(stages=[*svm.stages, tail]))
+        return PipelineModel(stages=[*svm.stages, tail])
+
+    with ThreadPoolExecutor(CALIBRATION_FOLDS) as pool:
+        parts = list(pool.map(part, range(CALIBRATION_FOLDS)))
     column = "_iso" if method == "isotonic" else "probability"
     return Fitted(features, parts, [column] * len(parts))
 

@@ -23,6 +23,7 @@ STEPS = (
     "rf_importance_method [EXTRA]",
 )
 METRICS = (("auc", "auc"), ("acc", "accuracy"), ("rec", "recall_1"), ("prec", "prec_1"), ("f1", "f1_1"), ("gini", "gini"))
+PARALLELISM = 4  # fits running side by side
 TABLE_SCHEMA = (
     "paso int, metodo string, threshold string, n_features int, "
     + ", ".join(f"{m}_{side} double" for m, _ in METRICS for side in ("train", "val"))
@@ -43,7 +44,7 @@ class _Judge:
     The candidates of one step are fitted side by side and measured together.
     """
 
-    def __init__(self, data: Dataset, spec: ln.Spec, split: tuple[str, str], parallelism: int = 4):
+    def __init__(self, data: Dataset, spec: ln.Spec, split: tuple[str, str], parallelism: int = PARALLELISM):
         self.data, self.spec, self.split, self.parallelism = data, spec, split, parallelism
         self.seen: dict[tuple[str, ...], dict[str, float | None]] = {}
 
@@ -90,18 +91,18 @@ def forest_aucs(data: Dataset, features: Sequence[str], split: tuple[str, str],
     """Validation AUC of a small forest per single feature; a constant one gets none."""
     train, val = data.part(split[0]), data.part(split[1])
     varied = set(sel.nonconstant(train, list(features)))
+    shown = [f for f in features if f in varied]
+    with ThreadPoolExecutor(PARALLELISM) as pool:
+        models = list(pool.map(lambda f: ln.fit(spec, train, [f], data.label, data.key), shown))
     scored = None
-    for f in features:
-        if f not in varied:
-            continue
-        model = ln.fit(spec, train, [f], data.label, data.key)
+    for f, model in zip(shown, models):
         part = model.score(val.select(F.col(data.label).alias("label"), f)).select(
             F.lit(f).alias("feature"), "label", "proba"
         )
         scored = part if scored is None else scored.unionByName(part)
     found: dict[str, float | None] = {f: None for f in features}
     if scored is not None:
-        for row in mt.rank_metrics(scored, ["feature"]).collect():
+        for row in mt.rank_metrics(stage(scored, "single"), ["feature"]).collect():
             found[row["feature"]] = None if row["auc"] is None else round(row["auc"], 4)
     return found
 

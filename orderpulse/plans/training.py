@@ -141,19 +141,23 @@ def trial_history(data: Dataset, runs: Mapping[str, Sequence[Trial]]) -> DataFra
 
 
 def out_of_fold(
-    data: Dataset, specs: Mapping[str, ln.Spec], split: str = "train", folds: int = FOLDS, seed: int = SEED
+    data: Dataset, specs: Mapping[str, ln.Spec], split: str = "train", folds: int = FOLDS, seed: int = SEED,
+    parallelism: int = 4,
 ) -> DataFrame:
     """Every training row scored by a model that did not see its fold, per model."""
     rows = stage(stratified_folds(data.part(split), data.label, data.key, folds, seed), "folds")
+    jobs = [(name, spec, k) for name, spec in specs.items() for k in range(folds)]
+    with ThreadPoolExecutor(parallelism) as pool:
+        models = list(
+            pool.map(lambda j: ln.fit(j[1], rows.where(F.col("fold") != j[2]), data.features, data.label, data.key), jobs)
+        )
     out = None
-    for name, spec in specs.items():
-        for k in range(folds):
-            model = ln.fit(spec, rows.where(F.col("fold") != k), data.features, data.label, data.key)
-            held = rows.where(F.col("fold") == k)
-            part = model.score(held.select(data.key, "fold", F.col(data.label).alias("label"), *data.features)).select(
-                F.lit(name).alias("model"), data.key, "fold", "label", "proba"
-            )
-            out = part if out is None else out.unionByName(part)
+    for (name, _, k), model in zip(jobs, models):
+        held = rows.where(F.col("fold") == k)
+        part = model.score(held.select(data.key, "fold", F.col(data.label).alias("label"), *data.features)).select(
+            F.lit(name).alias("model"), data.key, "fold", "label", "proba"
+        )
+        out = part if out is None else out.unionByName(part)
     return stage(out, "oof")
 
 
@@ -187,7 +191,7 @@ def tune(
     """
     runs = {n: search(data, s, trials, pos_label, seed, splits[:2], parallelism) for n, s in spaces.items()}
     specs = {n: best_trial(t).spec for n, t in runs.items()}
-    oof = out_of_fold(data, specs, splits[0], folds, seed)
+    oof = out_of_fold(data, specs, splits[0], folds, seed, parallelism)
     train = data.part(splits[0])
     models = {n: ln.fit(spec, train, data.features, data.label, data.key) for n, spec in specs.items()}
     scores = score_models(data, models, splits[1:])
