@@ -130,3 +130,32 @@ def test_folds_are_even_within_classes_and_repeatable(spark):
     key = lambda f: dict(zip(f.order_id, f.fold))
     assert key(folds) == key(again)
     assert key(pr.stratified_folds(df, seed=1).toPandas()) != key(folds)
+
+
+def test_a_hot_value_is_spread_over_ranges(spark):
+    """All rows tie on the score: the key still splits them, and numbering holds."""
+    df = spark.range(4000).selectExpr("id", "0.5D AS v", "cast(id % 7 = 0 AS int) AS y").repartition(4)
+    ranged = df.repartitionByRange(od.range_count(df), "v", "id").withColumn("r", F.spark_partition_id())
+    assert ranged.select("r").distinct().count() > 1
+    got = od.positions(df, [F.col("v"), F.col("id")], sums={"y": F.col("y")})
+    assert got.where("pos <> id + 1 OR n <> 4000").count() == 0
+    assert got.where("y_cum <> floor(id / 7) + 1").count() == 0
+
+
+class _Conf(dict):
+    def get(self, key, default=None):
+        return dict.get(self, key, default)
+
+
+class _Session:
+    def __init__(self, **settings):
+        self.conf = _Conf({k.replace("_", "."): v for k, v in settings.items()})
+
+
+def test_clusters_must_name_a_shared_folder():
+    from orderpulse.sources.staging import shared_folder
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(_Session(spark_master="yarn"))
+    assert shared_folder(_Session(spark_master="yarn", spark_checkpoint_dir="/shared/x/")) == "/shared/x"
+    assert shared_folder(_Session(spark_master="local[2]"))
