@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderpulse.llm import secrets
+from orderpulse.llm import decontam, secrets, simhash
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,6 +17,21 @@ def op1_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secret_digest(_table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_secret_scans": op1_secret_scans}
+def op2_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_copy_digest(_table(spark, folder, "documents"))
 
-SQL: dict[str, str] = {"op1_secret_scans": secrets.secret_sql()}
+
+def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontam.contamination_digest(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_scans": op1_secret_scans,
+    "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op10_benchmark_decontamination": op10_benchmark_decontamination,
+}
+
+SQL: dict[str, str] = {
+    "op1_secret_scans": secrets.secret_sql(),
+    "op10_benchmark_decontamination": decontam.DECONTAMINATION_SQL,
+}
