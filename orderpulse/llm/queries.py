@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from orderpulse.llm import decontam, secrets, simhash
+from orderpulse.llm import bpe, decontam, langid, secrets, simhash
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -21,6 +22,16 @@ def op2_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_copy_digest(_table(spark, folder, "documents"))
 
 
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.identify(_table(spark, folder, "documents"))
+
+
+def op9_byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = bpe.encode_documents(_table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
+    return encoded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.contamination_digest(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
@@ -28,6 +39,8 @@ def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scans": op1_secret_scans,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op3_language_id": op3_language_id,
+    "op9_byte_level_bpe": op9_byte_level_bpe,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
