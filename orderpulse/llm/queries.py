@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from orderpulse.llm import bpe, decontam, langid, secrets, simhash
+from orderpulse.llm import bpe, decontam, langid, secrets, sharding, simhash, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -26,6 +26,14 @@ def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(_table(spark, folder, "documents"))
 
 
+def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archive_digest(_table(spark, folder, "pages"))
+
+
+def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.sharding_digest(_table(spark, folder, "documents"))
+
+
 def op9_byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = bpe.encode_documents(_table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
@@ -40,11 +48,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scans": op1_secret_scans,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_language_id": op3_language_id,
+    "op4_warc": op4_warc,
+    "op6_sharding": op6_sharding,
     "op9_byte_level_bpe": op9_byte_level_bpe,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
 SQL: dict[str, str] = {
     "op1_secret_scans": secrets.secret_sql(),
+    "op4_warc": warc.archive_sql(),
     "op10_benchmark_decontamination": decontam.DECONTAMINATION_SQL,
 }
