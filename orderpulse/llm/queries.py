@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from orderpulse.llm import bpe, decontam, langid, secrets, sharding, simhash, warc
+from orderpulse.llm import bpe, decontam, importance, langid, quality_rules, secrets, sharding, simhash, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -34,6 +34,14 @@ def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.sharding_digest(_table(spark, folder, "documents"))
 
 
+def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.quality_digest(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+def op8_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.quality_digest(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op9_byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = bpe.encode_documents(_table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
@@ -50,6 +58,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_id": op3_language_id,
     "op4_warc": op4_warc,
     "op6_sharding": op6_sharding,
+    "op7_quality_rules": op7_quality_rules,
+    "op8_quality_classifier": op8_quality_classifier,
     "op9_byte_level_bpe": op9_byte_level_bpe,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
