@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from orderpulse.llm import bpe, decontam, importance, langid, quality_rules, secrets, sharding, simhash, warc
+from orderpulse.llm import bpe, decontam, importance, langid, quality_rules, secrets, sharding, simhash, warc, wavelet
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -30,6 +30,10 @@ def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archive_digest(_table(spark, folder, "pages"))
 
 
+def op5_token_wavelet(spark: SparkSession, folder: str) -> DataFrame:
+    return wavelet.token_digest(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.sharding_digest(_table(spark, folder, "documents"))
 
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_language_id": op3_language_id,
     "op4_warc": op4_warc,
+    "op5_token_wavelet": op5_token_wavelet,
     "op6_sharding": op6_sharding,
     "op7_quality_rules": op7_quality_rules,
     "op8_quality_classifier": op8_quality_classifier,
