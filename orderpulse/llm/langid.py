@@ -25,13 +25,15 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 #: Bytes that the recurrence runs over, units in each direction, windows run at a time.
 WINDOW, UNITS, ROWS = 128, 8, 2048
-#: Training sample: documents of each label, windows of each document; passes over them.
-PER_LABEL, SNIPPETS, PASSES = 400, 3, 10
+#: Training sample: documents of each label, windows of each document; training steps, however many windows there are.
+PER_LABEL, SNIPPETS, STEPS = 400, 3, 190
+#: Parts in which a label's rows are ranked before the label itself is.
+PARTS = 256
 #: Bytes of a training window, windows in a training step.
 SPAN, STEP_ROWS = 64, 256
 UNKNOWN = "und"
 #: A document of which no language has this mean probability is rejected by the pipeline.
-LEAST_SCORE = 0.4
+LEAST_SCORE = 0.35
 
 _LETTER = regex.compile(r"\p{L}")
 #: Byte classes: 0 pads; ASCII letters and all bytes of other scripts count when probabilities are pooled.
@@ -141,7 +143,7 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return x / x.sum(axis=-1, keepdims=True)
 
 
-def train(samples: Sequence[tuple[bytes, str]], units: int = UNITS, passes: int = PASSES, seed: int = 7) -> Network | None:
+def train(samples: Sequence[tuple[bytes, str]], units: int = UNITS, steps: int = STEPS, seed: int = 7) -> Network | None:
     """Fit the network to (window, language) pairs with Adam; None without samples."""
     languages = sorted({lang for _, lang in samples})
     if not languages:
@@ -158,18 +160,17 @@ def train(samples: Sequence[tuple[bytes, str]], units: int = UNITS, passes: int
     share = np.bincount(target) * len(languages)
     weight = (len(order) / share)[target].astype(np.float32)
     moments = [[np.zeros_like(w), np.zeros_like(w)] for w in net.weights()]
-    step, rows = 0, STEP_ROWS
-    for epoch in range(passes):
-        mixed = rng.permutation(len(order))
-        for i in range(0, len(order), rows):
-            pick = mixed[i : i + rows]
-            found = _loss_gradients(net, codes[:, pick], target[pick], weight[pick])
-            step += 1
-            rate = 0.02 * 0.5 * (1 + np.cos(np.pi * epoch / passes))
-            for w, g, m in zip(net.weights(), found, moments, strict=True):
-                m[0] += 0.1 * (g - m[0])
-                m[1] += 0.01 * (g * g - m[1])
-                w -= rate * (m[0] / (1 - 0.9**step)) / (np.sqrt(m[1] / (1 - 0.99**step)) + 1e-8)
+    mixed = np.empty(0, int)
+    for step in range(1, steps + 1):
+        if len(mixed) < STEP_ROWS:
+            mixed = np.concatenate([mixed, rng.permutation(np.resize(np.arange(len(order)), max(len(order), STEP_ROWS)))])
+        pick, mixed = mixed[:STEP_ROWS], mixed[STEP_ROWS:]
+        found = _loss_gradients(net, codes[:, pick], target[pick], weight[pick])
+        rate = 0.02 * 0.5 * (1 + np.cos(np.pi * step / steps))
+        for w, g, m in zip(net.weights(), found, moments, strict=True):
+            m[0] += 0.1 * (g - m[0])
+            m[1] += 0.01 * (g * g - m[1])
+            w -= rate * (m[0] / (1 - 0.9**step)) / (np.sqrt(m[1] / (1 - 0.99**step)) + 1e-8)
     return net
 
 
@@ -224,8 +225,11 @@ def training_sample(docs: DataFrame, key: str = "doc_id", text: str = "text", la
     starts = [F.floor(size * (2 * i + 1) / (2 * SNIPPETS)) - SPAN // 2 for i in range(SNIPPETS)]
     cut = F.array(*[F.substring(F.col(text), F.greatest(s + 1, F.lit(1)).cast("int"), F.lit(SPAN)) for s in starts])
     chosen = usable.select(F.col(label).cast("string").alias("label"), F.xxhash64(key, text).alias("h"), F.array_distinct(cut).alias("w"))
-    low = W.partitionBy("label").orderBy("h", "w")
-    rows = chosen.withColumn("n", F.row_number().over(low)).where(F.col("n") <= PER_LABEL).select("label", "w").collect()
+    # first within parts of each label, so that one task never gathers the best rows of every other task
+    for by in (["label", F.pmod("h", F.lit(PARTS))], ["label"]):
+        low = W.partitionBy(*by).orderBy("h", "w")
+        chosen = chosen.withColumn("n", F.row_number().over(low)).where(F.col("n") <= PER_LABEL).drop("n")
+    rows = chosen.select("label", "w").collect()
     return [(w.encode(), r["label"]) for r in rows for w in r["w"]]
 
 
