@@ -5,6 +5,7 @@ Everything fitted is fitted on the training rows only.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
@@ -17,7 +18,8 @@ CUTOFFS = ("2017-12-31", "2018-03-31", "2018-06-30")
 SEED = 2357
 ENCODED = ("product_category_name_english",)
 
-HASH_DIGITS = 3
+# Rows of one range of the fold order, and digits of the digest that place a row.
+RANGE_ROWS, DIGITS = 50_000, 12
 
 
 def temporal_split(
@@ -113,13 +115,15 @@ def stratified_folds(
 ) -> DataFrame:
     """Shuffled folds whose sizes differ by at most one within each class.
 
-    Rows are dealt out in the order of a seeded digest of the key.  The first
-    digits of the digest cut that order into even ranges, so positions come
-    from small windows plus range totals, and the result does not depend on
-    how many ranges there are.
+    Rows are dealt out in the order of a seeded digest of the key.  The digest's
+    leading digits cut that order into even ranges, as many as the number of
+    rows asks for, so positions come from small windows plus range totals, and
+    the result does not depend on how many ranges there are.
     """
     digest = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))
-    marked = df.withColumn("_digest", digest).withColumn("_range", F.substring("_digest", 1, HASH_DIGITS))
+    ranges = max(1, math.ceil(df.select(key).count() / RANGE_ROWS))
+    place = F.conv(F.substring("_digest", 1, DIGITS), 16, 10).cast("double") / float(16**DIGITS)
+    marked = df.withColumn("_digest", digest).withColumn("_range", F.floor(place * ranges))
     totals = marked.groupBy(label, "_range").agg(F.count("*").alias("_n"))
     before = W.partitionBy(label).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     offsets = totals.select(label, "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))

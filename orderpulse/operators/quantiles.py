@@ -10,8 +10,6 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from orderpulse.operators.ordering import plain_zero, running_totals
 
-# Up to this many values Spark's exact percentile holds one column in memory.
-DIRECT_LIMIT = 200_000
 ACCURACY = 20_000
 
 
@@ -19,15 +17,12 @@ def exact_quantiles(
     df: DataFrame,
     columns: Mapping[str, Column] | Sequence[str],
     probs: Sequence[float],
-    direct_limit: int = DIRECT_LIMIT,
     accuracy: int = ACCURACY,
 ) -> dict[str, list[float | None]]:
-    """Quantiles of several columns, fitted in two passes over the data.
+    """Quantiles of several columns, fitted in three passes over the data.
 
-    The first pass counts values.  Up to ``direct_limit`` of them go through
-    Spark's exact percentile, which holds a column's distinct values in memory;
-    beyond that, sketch brackets narrow the ranks first.  Both are exact.
-    Missing and NaN values are ignored; an empty column gives None.
+    The first pass counts values, the second brackets the wanted ranks with a
+    sketch, the third reads the values inside the brackets.  Missing and NaN values are ignored; an empty column gives None.
     """
     exprs = columns if isinstance(columns, Mapping) else {c: F.col(c) for c in columns}
     names = list(exprs)
@@ -40,14 +35,8 @@ def exact_quantiles(
         ]
     )
     counts = values.agg(*[F.count(f"v{i}").alias(f"v{i}") for i in range(len(names))]).first()
-    if max(counts) <= direct_limit:
-        row = values.agg(
-            *[F.percentile(f"v{i}", F.array(*map(F.lit, probs))).alias(f"v{i}") for i in range(len(names))]
-        ).first()
-        return {
-            name: list(row[i]) if row[i] is not None else [None] * len(probs)
-            for i, name in enumerate(names)
-        }
+    if not max(counts):
+        return {name: [None] * len(probs) for name in names}
     return _bracketed(values, names, list(counts), list(probs), accuracy)
 
 
@@ -68,7 +57,7 @@ def _intervals(sketch: Sequence[float], slack: float, probs: Sequence[float]) ->
 
 
 def _bracketed(values, names, counts, probs, accuracy):
-    """For large data: sketch brackets around the wanted ranks, then read inside them.
+    """Sketch brackets around the wanted ranks, then read inside them.
 
     One scan counts the values between brackets and keeps the distinct values
     inside, which are a few per mille of the rows however large the table is.

@@ -87,10 +87,12 @@ def exploratory_master(tables: Mapping[str, DataFrame]) -> DataFrame:
     described = ft.translate_categories(tables["products"], tables["translation"]).select(
         "product_id", "product_category_name_english", "product_weight_g", "product_photos_qty"
     )
-    reviews = ft.latest_per_key(tables["reviews"], ["order_id"], [F.col("review_id").asc()]).select(
-        "order_id", "review_score", "review_comment_message",
+    # the flag is taken before rows are shuffled: without the message's column no text leaves its scan
+    flagged = tables["reviews"].select(
+        "order_id", "review_id", "review_score", "review_comment_message",
         ex.flag(F.col("review_comment_message").isNotNull()).alias("tiene_comentario"),
     )
+    reviews = ft.latest_per_key(flagged, ["order_id"], [F.col("review_id").asc()]).drop("review_id")
     return (
         tables["orders"]
         .join(

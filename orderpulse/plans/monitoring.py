@@ -7,13 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from orderpulse.operators import aggregates as ag, drift, explain, learners as ln, metrics as mt
-from orderpulse.operators.ordering import seeded_sample
-from orderpulse.operators.preparation import SEED
 from orderpulse.sources import sinks
 from orderpulse.sources.staging import stage
 
-SHAP_ROWS = 500
-
 
 def backtest_tables(
     scored: DataFrame, reference: str, others: Sequence[str], by: str = "period", key: str = "id"
@@ -46,8 +42,8 @@ def batch_report(
 ) -> dict[str, DataFrame]:
     """Score a labelled batch, measure it, and append the metrics to the history.
 
-    Attributions are added for linear models, on a seeded sample of rows with
-    the whole batch as background.
+    Attributions are added for linear models: for every row, with the whole
+    batch as background.
     """
     rows = batch.select(key, F.col(label).alias("label"), *model.features)
     scored = stage(model.score(rows).select(key, "label", "proba"), "batch")
@@ -68,8 +64,7 @@ def batch_report(
     }
     if len(model.pipelines) == 1 and hasattr(model.pipelines[0].stages[-1], "coefficients"):
         weights, intercept = model.linear_weights()
-        shown = seeded_sample(rows, key, SHAP_ROWS, SEED)
-        phi = explain.linear_attributions(shown, weights, intercept, background=rows)
+        phi = explain.linear_attributions(rows, weights, intercept, background=rows)
         out["shap"] = phi
         out["shap_importance"] = explain.top_features(phi, model.features, None)
     return out
