@@ -103,6 +103,30 @@ def kpi_totals(df: DataFrame) -> DataFrame:
     )
 
 
+def kpi_exploration(df: DataFrame) -> DataFrame:
+    """KPIs of the delivered orders with the exploration's denominators.
+
+    Rates of satisfaction and risk are over rated orders; the late rate counts
+    an order without a delivery date as late and is over all delivered orders,
+    as is the order value.  Needs review_score, delivered_on_time, dias_retraso
+    and payment_value of delivered orders.
+    """
+    score, paid, delay = F.col("review_score"), F.col("payment_value"), F.col("dias_retraso")
+    rated = F.nullif(F.count(score).cast("double"), F.lit(0.0))
+    return df.agg(
+        F.count("*").alias("orders"),
+        (F.count_if(score >= 4) / rated * 100).alias("customer_satisfaction_rate"),
+        (F.count_if(score <= 3) / rated * 100).alias("unsatisfied_rate"),
+        F.avg(score).alias("average_review_score"),
+        (F.count_if(F.col("delivered_on_time") == 0) / F.nullif(F.count("*").cast("double"), F.lit(0.0)) * 100).alias(
+            "late_delivery_rate"
+        ),
+        F.avg(F.when(delay > 0, delay)).alias("average_delay_days"),
+        F.coalesce(F.sum(F.when(score <= 3, paid)), F.lit(0.0)).alias("revenue_at_risk"),
+        F.avg(paid).alias("average_order_value"),
+    )
+
+
 def kpi_by_dimension(df: DataFrame, dims: Sequence[str], score: str = "review_score") -> DataFrame:
     """Mean score per value of several dimensions, in long form and one scan."""
     pairs = F.explode(

@@ -5,9 +5,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from orderpulse.functions import expressions as ex
 from orderpulse.operators.ordering import plain_zero, running_totals
@@ -131,17 +130,28 @@ def ks_statistics(df: DataFrame, value: str, period: str, reference: str, others
     return totals.agg(F.array(*rows).alias("m")).select(F.inline("m"))
 
 
-def _lower_tail():
-    """Standard normal distribution function for the one row per test.
+#: Terms of the series and of the continued fraction below; more than doubles can tell apart.
+TAIL_TERMS = 80
 
-    Made inside a function, so it travels to executors by value.
-    """
 
-    @F.pandas_udf(T.DoubleType())
-    def tail(z: pd.Series) -> pd.Series:
-        return z.map(lambda v: None if v is None or v != v else 0.5 * math.erfc(-v / math.sqrt(2)))
+def lower_tail(z: Column) -> Column:
+    """Standard normal distribution function, for the one row per test.
 
-    return tail
+    Near zero by the series of the error function, whose terms are all positive;
+    beyond, by the continued fraction of its complement.
+    """
+    x = F.abs(z) / math.sqrt(2)
+    terms = F.transform(F.sequence(F.lit(0), F.lit(TAIL_TERMS)), lambda n: n.cast("double"))
+    start = F.struct(F.lit(0.0).alias("sum"), x.alias("term"))
+    step = lambda acc, n: F.struct(
+        (acc["sum"] + acc["term"]).alias("sum"), (acc["term"] * 2 * x * x / (2 * n + 3)).alias("term")
+    )
+    series = F.aggregate(terms, start, step, lambda acc: acc["sum"])
+    near = 1 - 2 / math.sqrt(math.pi) * F.exp(-x * x) * series
+    fraction = F.aggregate(F.reverse(terms), x, lambda f, n: x + (n + 1) / 2 / f)
+    far = F.exp(-x * x) / (math.sqrt(math.pi) * fraction)
+    upper = F.when(x < 3, near).otherwise(far) / 2
+    return F.when(~F.isnan(z), F.when(z < 0, upper).otherwise(1 - upper))
 
 
 def mann_whitney(df: DataFrame, value: str, first: Column, second: Column) -> DataFrame:
@@ -164,5 +174,5 @@ def mann_whitney(df: DataFrame, value: str, first: Column, second: Column) -> Da
     u = stats.withColumn("u", F.col("r1") - n1 * (n1 + 1) / 2)
     z = (F.col("u") - n1 * n2 / 2 + F.lit(0.5)) / F.nullif(F.sqrt(spread), F.lit(0.0))
     return u.withColumn("z", z).select(
-        "u", n1.cast("long").alias("n1"), n2.cast("long").alias("n2"), "z", _lower_tail()("z").alias("p_less")
+        "u", n1.cast("long").alias("n1"), n2.cast("long").alias("n2"), "z", lower_tail(F.col("z")).alias("p_less")
     )

@@ -20,7 +20,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from orderpulse.operators.preparation import SEED, stratified_folds, weight_column
+from orderpulse.operators.preparation import SEED, class_counts, stratified_folds, weight_column
 from orderpulse.sources.sinks import write_table
 from orderpulse.sources.staging import stage
 from orderpulse.sources.models import load_model, save_model
@@ -137,17 +137,37 @@ def _estimator(spec: Spec, label: str, weight: str | None, total_weight: float):
 def fit(spec: Spec, train: DataFrame, features: Sequence[str], label: str = "satisfecho", key: str = "order_id") -> Fitted:
     """Fit one learner; ``class_weight='balanced'`` weighs classes inversely to size."""
     data = train.select(key, label, *features)
+    balanced = spec.params.get("class_weight") == "balanced"
+    # one pass serves the weights and the learner's scale
+    counts = class_counts(data, label) if balanced or spec.kind == LOGISTIC else (1, 0)
     weight = None
-    if spec.params.get("class_weight") == "balanced":
-        data, weight = weight_column(data, label, "_w"), "_w"
+    if balanced:
+        data, weight = weight_column(data, label, "_w", counts), "_w"
     if spec.kind == SVM:
         return _fit_calibrated(spec, data, list(features), label, key, weight)
     # balanced weights sum to the row count as well
-    total = float(data.count()) if spec.kind == LOGISTIC else 1.0
-    pipeline = Pipeline(stages=[_assembler(features), _estimator(spec, label, weight, total)]).fit(data)
+    pipeline = Pipeline(stages=[_assembler(features), _estimator(spec, label, weight, float(counts[0]))]).fit(data)
     return Fitted(list(features), [pipeline], ["probability"])
 
 
+def logistic_gradient(
+    model: Fitted, spec: Spec, train: DataFrame, label: str = "satisfecho"
+) -> dict[str, float]:
+    """Gradient of the mean loss with its ridge penalty, per feature; near zero at the optimum."""
+    weights, intercept = model.linear_weights()
+    counts = class_counts(train, label)
+    data = train.withColumn("_w", F.lit(1.0))
+    if spec.params.get("class_weight") == "balanced":
+        data = weight_column(train, label, "_w", counts)
+    margin = F.lit(intercept)
+    for f, w in weights.items():
+        margin = margin + F.col(f) * F.lit(w)
+    gap = F.col("_w") * (1 / (1 + F.exp(-margin)) - F.col(label))
+    row = data.select(gap.alias("_g"), *weights).agg(*[F.sum(F.col("_g") * F.col(f)) for f in weights]).first()
+    c = float(spec.params.get("C", 1.0))
+    return {f: (row[i] + w / c) / counts[0] for i, (f, w) in enumerate(weights.items())}
+
+
 def _fit_calibrated(spec, data, features, label, key, weight) -> Fitted:
     """A linear SVM per fold, calibrated on the rows it did not see, averaged.
 
@@ -157,11 +177,13 @@ def _fit_calibrated(spec, data, features, label, key, weight) -> Fitted:
     # every SVM iterates over the folds many times: write them once
     folds = stage(stratified_folds(data, label, key, CALIBRATION_FOLDS), "calibration")
 
+    sizes = {row["fold"]: row["count"] for row in folds.groupBy("fold").count().collect()}
+
     def part(k: int) -> PipelineModel:
         seen, held = folds.where(F.col("fold") != k), folds.where(F.col("fold") == k)
         margin = VectorSlicer(inputCol="_raw", outputCol="_m", indices=[1])
         svm = Pipeline(
-            stages=[_assembler(features), _estimator(spec, label, weight, float(seen.count())), margin]
+            stages=[_assembler(features), _estimator(spec, label, weight, float(sum(sizes.values()) - sizes.get(k, 0))), margin]
         ).fit(seen)
         tail = _calibrator(method, label).fit(svm.transform(held).select(label, "_m"))
         return PipelineModel(stages=[*svm.stages, tail])

@@ -13,7 +13,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from orderpulse.functions import expressions as ex
-from orderpulse.operators.ordering import plain_zero, positions, running_totals
+from orderpulse.operators.ordering import plain_zero, positions, running_totals, with_lower
 
 DECILES = 10
 
@@ -180,11 +180,32 @@ def all_metrics(
     return out if by else out.drop("_all")
 
 
+def as_class(df: DataFrame, pos_label: int, label: str = "label", proba: str = "proba") -> DataFrame:
+    """The same rows with class ``pos_label`` as 1 and its probability."""
+    if pos_label == 1:
+        return df
+    return df.withColumns({label: 1 - F.col(label), proba: 1 - F.col(proba)})
+
+
+def corners(totals: DataFrame, by: Sequence[str] = (), proba: str = "proba") -> DataFrame:
+    """Totals without the scores at which a curve runs straight on: both ends stay, and every change of step."""
+    seen = with_lower(totals, by, proba, ["pos", "neg"])
+    turn = (F.col("lower.pos") != F.col("pos")) | (F.col("lower.neg") != F.col("neg"))
+    top = (F.col("pos_cum") == F.col("pos_all")) & (F.col("neg_cum") == F.col("neg_all"))
+    return seen.where(F.col("lower").isNull() | turn | top).drop("lower")
+
+
 def roc_points(
-    df: DataFrame, by: Sequence[str] = (), label: str = "label", proba: str = "proba", totals: DataFrame | None = None
+    df: DataFrame, by: Sequence[str] = (), label: str = "label", proba: str = "proba", totals: DataFrame | None = None,
+    pos_label: int = 1, reduced: bool = False,
 ) -> DataFrame:
-    """False and true positive rate per distinct threshold, plus the origin."""
-    totals = totals if totals is not None else score_totals(df, by, label, proba)
+    """False and true positive rate per distinct threshold, plus the origin.
+
+    ``reduced`` leaves out points in the middle of a straight piece; ``totals``
+    belong to the class that counts as positive.
+    """
+    totals = totals if totals is not None else score_totals(as_class(df, pos_label, label, proba), by, label, proba)
+    totals = corners(totals, by, proba) if reduced else totals
     tp = F.col("pos_all") - F.col("pos_cum") + F.col("pos")
     fp = F.col("neg_all") - F.col("neg_cum") + F.col("neg")
     points = totals.select(
@@ -198,10 +219,11 @@ def roc_points(
 
 
 def pr_points(
-    df: DataFrame, by: Sequence[str] = (), label: str = "label", proba: str = "proba", totals: DataFrame | None = None
+    df: DataFrame, by: Sequence[str] = (), label: str = "label", proba: str = "proba", totals: DataFrame | None = None,
+    pos_label: int = 1,
 ) -> DataFrame:
     """Precision and recall per distinct threshold, plus the closing (1, 0) point."""
-    totals = totals if totals is not None else score_totals(df, by, label, proba)
+    totals = totals if totals is not None else score_totals(as_class(df, pos_label, label, proba), by, label, proba)
     tp = F.col("pos_all") - F.col("pos_cum") + F.col("pos")
     fp = F.col("neg_all") - F.col("neg_cum") + F.col("neg")
     points = totals.select(

@@ -6,6 +6,7 @@ cut the value axis into ranges of similar row counts instead:
 * ``running_totals`` first collapses rows to distinct values, so a value held
   by a third of all rows becomes one row, then adds up within each range and
   adds the totals of the ranges before it.
+* ``with_lower`` gives each distinct value a look at the one below it.
 * ``positions`` numbers every row under a total order.  The order must end in a
   unique key, so a range never has to hold all copies of a hot value.
 """
@@ -15,35 +16,29 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from orderpulse.sources.staging import stage
 
-MAX_RANGES = 4096
-CUT_SAMPLE = 0.01
+#: Rows that one range, and so one task, should hold.
+RANGE_ROWS = 500_000
 
 
 def range_count(df: DataFrame) -> int:
-    """Ranges to cut into: as many as the session shuffles into, within bounds."""
-    setting = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(8, min(MAX_RANGES, setting))
+    """Ranges to cut the rows into, as many as their number asks for."""
+    return max(1, math.ceil(df.count() / RANGE_ROWS))
 
 
-def assign_ranges(df: DataFrame, value: str, out: str, ranges: int | None = None) -> DataFrame:
-    """Add a range number that grows with a double column.
+def in_ranges(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+    """Cut the rows into ranges of an order, numbered by ``_range``.
 
-    The cut points (at most ``MAX_RANGES`` numbers) are approximate quantiles of
-    a row sample.  They only balance the work: every row gets a range, and no
-    result depends on where the cuts fall.
+    The rows are written before they are counted, sampled and cut, so what lies
+    above them runs once; they are written again with their range, which fixes
+    it for every later reader.
     """
-    n = ranges or range_count(df)
-    sample = df.select(value).sample(fraction=CUT_SAMPLE, seed=n)
-    cuts = sample.stat.approxQuantile(value, [i / n for i in range(1, n)], 1 / (4 * n))
-    splits = [-math.inf, *sorted(set(cuts)), math.inf]
-    if len(splits) < 3:
-        return df.withColumn(out, F.lit(0.0))
-    return Bucketizer(splits=splits, inputCol=value, outputCol=out).transform(df)
+    rows = stage(df, name)
+    cut = rows.repartitionByRange(range_count(rows), *order)
+    return stage(cut.withColumn("_range", F.spark_partition_id()), f"{name}-ranges")
 
 
 def plain_zero(value: Column) -> Column:
@@ -69,13 +64,11 @@ def running_totals(
     clean = df.withColumn(value, plain_zero(F.col(value))).where(
         F.col(value).isNotNull() & ~F.isnan(value)
     )
-    ranged = assign_ranges(clean, value, "_range")
     # cast early: counts near 1e11 squared overflow long arithmetic downstream
-    distinct = ranged.groupBy(*keys, "_range", value).agg(
-        *[F.sum(sums[s]).cast("double").alias(s) for s in names]
-    )
+    summed = clean.groupBy(*keys, value).agg(*[F.sum(sums[s]).cast("double").alias(s) for s in names])
+    distinct = in_ranges(summed, [F.col(c) for c in (*keys, value)], "values")
     totals = distinct.groupBy(*keys, "_range").agg(*[F.sum(s).alias(f"_{s}") for s in names])
-    # at most MAX_RANGES rows per group from here on
+    # one row per range and group from here on
     order = F.col("_range").desc() if descending else F.col("_range").asc()
     before = W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
     whole = W.partitionBy(*keys)
@@ -109,17 +102,13 @@ def positions(
     """Add a 1-based row number ``pos``, group size ``n`` and running sums.
 
     ``order`` must be a total order (end it with a unique key).  Rows are range
-    partitioned on (by, order) and written once to the shared folder, so the
-    range each row falls in is fixed before totals per range are taken.
+    partitioned on (by, order) and written to the shared folder, so the range
+    each row falls in is fixed before totals per range are taken.
     """
     keys = list(by)
     extra = dict(sums or {})
-    rank_cols = {f"_o{i}": c for i, c in enumerate(order)}
     flat = df.withColumns({f"_s_{s}": c.cast("double") for s, c in extra.items()})
-    ranged = flat.repartitionByRange(
-        range_count(df), *[F.col(k) for k in keys], *order
-    ).withColumn("_range", F.spark_partition_id())
-    fixed = stage(ranged, "positions")
+    fixed = in_ranges(flat, [*[F.col(k) for k in keys], *order], "positions")
     totals = fixed.groupBy(*keys, "_range").agg(
         F.count("*").alias("_n"), *[F.sum(f"_s_{s}").alias(f"_t_{s}") for s in extra]
     )
@@ -132,7 +121,7 @@ def positions(
         *[F.coalesce(F.sum(f"_t_{s}").over(before), F.lit(0.0)).alias(f"_b_{s}") for s in extra],
         *[F.sum(f"_t_{s}").over(W.partitionBy(*keys)).alias(f"{s}_all") for s in extra],
     )
-    inner = W.partitionBy(*keys, "_range").orderBy(*rank_cols.values())
+    inner = W.partitionBy(*keys, "_range").orderBy(*order)
     upto = inner.rowsBetween(W.unboundedPreceding, W.currentRow)
     local = fixed.withColumns(
         {"pos": F.row_number().over(inner)}
@@ -148,6 +137,23 @@ def positions(
     )
 
 
+def with_lower(totals: DataFrame, by: Sequence[str], value: str, columns: Sequence[str]) -> DataFrame:
+    """Add ``lower``: a struct of columns at the next lower value of the group, missing at its lowest.
+
+    Within a range a window finds it; the lowest row of a range takes it from
+    the top of the nearest range below that has rows of the group.
+    """
+    keys = list(by)
+    ranged = in_ranges(totals, [F.col(c) for c in (*keys, value)], "neighbours")
+    own = F.struct(*columns)
+    tops = ranged.groupBy(*keys, "_range").agg(F.max_by(own, F.col(value)).alias("_top"))
+    below = F.lag("_top").over(W.partitionBy(*keys).orderBy("_range"))
+    tops = tops.select(*keys, "_range", below.alias("_below"))
+    inner = W.partitionBy(*keys, "_range").orderBy(value)
+    found = ranged.withColumn("_own", F.lag(own).over(inner)).join(tops, [*keys, "_range"])
+    return found.withColumn("lower", F.coalesce("_own", "_below")).drop("_own", "_below", "_range")
+
+
 def latest_per_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column]
 ) -> DataFrame:

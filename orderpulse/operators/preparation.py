@@ -148,9 +148,16 @@ def class_weights(df: DataFrame, label: str = "satisfecho") -> DataFrame:
     )
 
 
-def weight_column(df: DataFrame, label: str = "satisfecho", out: str = "weight") -> DataFrame:
-    """Add the balanced class weight to each row."""
+def class_counts(df: DataFrame, label: str = "satisfecho") -> tuple[int, int]:
+    """Rows, and rows of class 1."""
     row = df.agg(F.count("*").alias("n"), F.sum(F.col(label).cast("long")).alias("pos")).first()
-    n, pos = row["n"], row["pos"] or 0
+    return row["n"], row["pos"] or 0
+
+
+def weight_column(
+    df: DataFrame, label: str = "satisfecho", out: str = "weight", counts: tuple[int, int] | None = None
+) -> DataFrame:
+    """Add the balanced class weight to each row."""
+    n, pos = counts or class_counts(df, label)
     by_class = {1: n / (2 * pos) if pos else 1.0, 0: n / (2 * (n - pos)) if n > pos else 1.0}
     return df.withColumn(out, F.when(F.col(label) == 1, F.lit(by_class[1])).otherwise(F.lit(by_class[0])))

@@ -101,6 +101,27 @@ def pr_points(spark, folder):
     return rounded(mt.pr_points(star.scored(spark, folder), BY), 6)
 
 
+OTHER = R.SCORED + ", other AS (SELECT period, 1 - label AS label, 1 - proba AS proba FROM scored)," + ranked_sql("other", "period")
+
+
+@Q.query("roc_points_class_0", R.sql(OTHER + """,
+    turns AS (SELECT *, lag(pos) OVER w AS up_pos, lead(pos) OVER w AS low_pos, lead(neg) OVER w AS low_neg FROM curve
+      WINDOW w AS (PARTITION BY period ORDER BY proba DESC))""", f"""
+    SELECT period, {r('proba', 'threshold', 6)}, {r('fp / nullif(n, 0)', 'fpr', 6)}, {r('tp / nullif(p, 0)', 'tpr', 6)} FROM turns
+    WHERE up_pos IS NULL OR low_pos IS NULL OR low_pos <> pos OR low_neg <> neg
+    UNION ALL SELECT DISTINCT period, NULL, 0.0::DOUBLE, 0.0::DOUBLE FROM scored"""))
+def roc_points_class_0(spark, folder):
+    """The curve of class 0 without points on straight pieces."""
+    return rounded(mt.roc_points(star.scored(spark, folder), BY, pos_label=0, reduced=True), 6)
+
+
+@Q.query("pr_points_class_0", R.sql(OTHER, f"""
+    SELECT period, {r('proba', 'threshold', 6)}, {r('tp / (tp + fp)', 'prec', 6)}, {r('tp / nullif(p, 0)', 'recall', 6)} FROM curve
+    UNION ALL SELECT DISTINCT period, NULL, 1.0::DOUBLE, 0.0::DOUBLE FROM scored"""))
+def pr_points_class_0(spark, folder):
+    return rounded(mt.pr_points(star.scored(spark, folder), BY, pos_label=0), 6)
+
+
 def sweep_sql(name: str, start: float, stop: float, num: int, degenerate: bool) -> str:
     """Cells and F1 of both classes per period and threshold."""
     zero = "CASE WHEN tp + fp = 0 OR tn + fn = 0 THEN 0 ELSE {} END" if degenerate else "{}"

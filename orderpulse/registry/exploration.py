@@ -17,7 +17,7 @@ Q = Registry()
 @Q.query("mean_by_key", R.sql(R.EDA, f"""SELECT customer_state, {r('avg(review_score)', 'mean')} FROM eda
     WHERE customer_state IS NOT NULL GROUP BY 1"""))
 def mean_by_key(spark, folder):
-    return rounded(ag.mean_by_key(frames.staged_explored(spark, folder), "customer_state", "review_score"))
+    return rounded(ag.mean_by_key(frames.explored(spark, folder), "customer_state", "review_score"))
 
 
 _MULTI = ("total_price", "total_freight_value", "freight_ratio")
@@ -27,7 +27,7 @@ _MULTI = ("total_price", "total_freight_value", "freight_ratio")
     {', '.join(f'round(avg({c}), 2) AS {c}' for c in _MULTI)} FROM eda
     WHERE review_score IS NOT NULL GROUP BY 1"""))
 def multi_mean_by_score(spark, folder):
-    return ag.means_by_key(frames.staged_explored(spark, folder), "review_score", _MULTI)
+    return ag.means_by_key(frames.explored(spark, folder), "review_score", _MULTI)
 
 
 _CATEGORY = f"""SELECT product_category_name_english, {r('avg(review_score)', 'avg_score')}, count(order_id) AS orders
@@ -37,7 +37,7 @@ _CATEGORY = f"""SELECT product_category_name_english, {r('avg(review_score)', 'a
 @Q.query("category_satisfaction", R.sql(R.EDA, _CATEGORY))
 def category_satisfaction(spark, folder):
     return rounded(
-        ag.category_satisfaction(frames.staged_explored(spark, folder), "product_category_name_english", min_orders=100)
+        ag.category_satisfaction(frames.explored(spark, folder), "product_category_name_english", min_orders=100)
     )
 
 
@@ -55,7 +55,7 @@ _MONTHLY = """SELECT mes_compra AS month, avg(review_score) AS avg_score, count(
 
 @Q.query("monthly_trend", R.sql(R.EDA + f", m AS ({_MONTHLY})", f"SELECT month, {r('avg_score', 'avg_score')}, orders FROM m"))
 def monthly_trend(spark, folder):
-    return rounded(ag.monthly_trend(frames.staged_explored(spark, folder)))
+    return rounded(ag.monthly_trend(frames.explored(spark, folder)))
 
 
 @Q.query("best_worst_month", R.sql(R.EDA + f", m0 AS ({_MONTHLY}), m AS (SELECT month, round(avg_score, 6) AS s FROM m0)", f"""
@@ -63,7 +63,7 @@ def monthly_trend(spark, folder):
            (SELECT month FROM m ORDER BY s, month LIMIT 1) AS worst,
            {r('(SELECT avg(s) FROM m)', 'mean_measure')}, (SELECT count(*) FROM m) AS "groups" """))
 def best_worst_month(spark, folder):
-    monthly = rounded(ag.monthly_trend(frames.staged_explored(spark, folder)), 6)
+    monthly = rounded(ag.monthly_trend(frames.explored(spark, folder)), 6)
     return rounded(ag.best_and_worst(monthly, "month", "avg_score"))
 
 
@@ -93,7 +93,26 @@ def _kpis() -> str:
 
 @Q.query("kpi_scalar", R.sql(R.EDA, f"SELECT count(*) AS orders, {_kpis()} FROM eda"))
 def kpi_scalar(spark, folder):
-    return rounded(ag.kpi_totals(frames.staged_explored(spark, folder)).withColumn("revenue_at_risk", F.round("revenue_at_risk", 0)), 3)
+    return rounded(ag.kpi_totals(frames.explored(spark, folder)).withColumn("revenue_at_risk", F.round("revenue_at_risk", 0)), 3)
+
+
+_EDA_KPI = {
+    "customer_satisfaction_rate": "count(*) FILTER (WHERE review_score >= 4) / nullif(count(review_score), 0) * 100",
+    "unsatisfied_rate": "count(*) FILTER (WHERE review_score <= 3) / nullif(count(review_score), 0) * 100",
+    "average_review_score": "avg(review_score)",
+    "late_delivery_rate": "count(*) FILTER (WHERE NOT coalesce(dias_retraso <= 0, false)) / count(*) * 100",
+    "average_delay_days": "avg(dias_retraso) FILTER (WHERE dias_retraso > 0)",
+    "average_order_value": "avg(payment_value)",
+}
+
+
+@Q.query("kpi_exploration", R.sql(R.EDA, f"""SELECT count(*) AS orders, {', '.join(r(e, n, 3) for n, e in _EDA_KPI.items())},
+    {r('coalesce(sum(payment_value) FILTER (WHERE review_score <= 3), 0)', 'revenue_at_risk', 0)}
+    FROM eda WHERE order_status = 'delivered'"""))
+def kpi_exploration(spark, folder):
+    """KPIs of the delivered orders with the exploration's denominators."""
+    found = ag.kpi_exploration(frames.explored(spark, folder).where("order_status = 'delivered'"))
+    return rounded(found.withColumn("revenue_at_risk", F.round("revenue_at_risk", 0)), 3)
 
 
 _DIMS = ("customer_state", "payment_type", "order_item_count", "review_score", "es_tarde")
@@ -103,7 +122,7 @@ _DIMS = ("customer_state", "payment_type", "order_item_count", "review_score", "
     f"""SELECT '{d}' AS dimension, {d}::VARCHAR AS value, {r('avg(review_score)', 'mean_score')}, count(*) AS orders
     FROM eda WHERE {d} IS NOT NULL GROUP BY {d}""" for d in _DIMS)))
 def kpi_by_dim(spark, folder):
-    return rounded(ag.kpi_by_dimension(frames.staged_explored(spark, folder), _DIMS))
+    return rounded(ag.kpi_by_dimension(frames.explored(spark, folder), _DIMS))
 
 
 @Q.query("region_satisfaction", R.sql(",".join([R.EDA, R.REGIONS]), f"""
@@ -140,7 +159,7 @@ def region_satisfaction(spark, folder):
     {r('avg(total_freight_value)', 'mean_freight')}, {r('avg(tiene_comentario) * 100', 'pct_with_comment')}
     FROM eda WHERE order_status = 'delivered'"""))
 def baseline_business_metrics(spark, folder):
-    return rounded(ag.business_baseline(frames.staged_explored(spark, folder).where("order_status = 'delivered'")))
+    return rounded(ag.business_baseline(frames.explored(spark, folder).where("order_status = 'delivered'")))
 
 
 _DESCRIBED = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
@@ -161,7 +180,7 @@ def describe_numeric(spark, folder):
 @Q.query("describe_by_group", R.sql(R.EDA, f"""SELECT review_score, {_describe_sql('dias_retraso')} FROM eda
     WHERE dias_retraso IS NOT NULL AND review_score IS NOT NULL GROUP BY 1"""))
 def describe_by_group(spark, folder):
-    kept = frames.staged_explored(spark, folder).dropna(subset=["dias_retraso", "review_score"])
+    kept = frames.staged_explored(spark, folder, "dias_retraso", "review_score").dropna(subset=["dias_retraso", "review_score"])
     return rounded(ag.describe_by(kept, ["review_score"], "dias_retraso"))
 
 
@@ -205,13 +224,13 @@ def _corr_where() -> str:
 @Q.query("correlation_matrix", R.sql(R.EDA + f", k AS (SELECT * FROM eda WHERE {_corr_where()})", " UNION ALL ".join(
     f"SELECT '{a}' AS a, '{b}' AS b, {r(f'corr({a}, {b})', 'r')} FROM k" for a, b in combinations(_CORR, 2))))
 def correlation_matrix(spark, folder):
-    return rounded(ag.correlations(frames.staged_explored(spark, folder), _CORR, drop_missing=True))
+    return rounded(ag.correlations(frames.staged_explored(spark, folder, *_CORR), _CORR, drop_missing=True))
 
 
 @Q.query("corr_with_target", R.sql(R.EDA, " UNION ALL ".join(
     f"SELECT '{c}' AS feature, {r(f'corr({c}, review_score)', 'r')} FROM eda" for c in _CORR[1:])))
 def corr_with_target(spark, folder):
-    return rounded(ag.correlation_with(frames.staged_explored(spark, folder), "review_score", _CORR[1:]))
+    return rounded(ag.correlation_with(frames.staged_explored(spark, folder, *_CORR), "review_score", _CORR[1:]))
 
 
 @Q.query("class_profile", R.sql(R.EDA, " UNION ALL ".join(
@@ -220,7 +239,7 @@ def corr_with_target(spark, folder):
     {r(f'(avg({c}) FILTER (satisfecho = 0) - avg({c}) FILTER (satisfecho = 1)) / (abs(avg({c}) FILTER (satisfecho = 1)) + 1e-9::DOUBLE) * 100', 'diff_pct')},
     {r(f'min({c})', 'min')}, {r(f'max({c})', 'max')}, {r(f'stddev_samp({c})', 'std')} FROM eda""" for c in _CORR[1:])))
 def class_profile(spark, folder):
-    return rounded(ag.class_profile(frames.staged_explored(spark, folder), "satisfecho", _CORR[1:]))
+    return rounded(ag.class_profile(frames.staged_explored(spark, folder, "satisfecho", *_CORR[1:]), "satisfecho", _CORR[1:]))
 
 
 # the width follows from both ends, so both engines compute it the same way
@@ -246,11 +265,14 @@ def class_histogram(spark, folder):
     s AS (SELECT sum(CASE WHEN g = 1 THEN lo + (t - 1) / 2.0::DOUBLE END) AS r1, count(*) FILTER (WHERE g = 1)::DOUBLE AS n1,
       count(*) FILTER (WHERE g = 0)::DOUBLE AS n2, sum(t::DOUBLE * t - 1) AS ties FROM ranked),
     u AS (SELECT *, r1 - n1 * (n1 + 1) / 2 AS u, n1 + n2 AS n FROM s)""",
-    f"""SELECT {r('u', 'u', 1)}, n1::BIGINT AS n1, n2::BIGINT AS n2,
-    {r('(u - n1 * n2 / 2 + 0.5) / sqrt(n1 * n2 / 12 * ((n + 1) - ties / (n * (n - 1))))', 'z')} FROM u"""))
+    # the tail by Chebyshev fitting, good to about 1e-7: another way than the query's own
+    f"""SELECT {r('u', 'u', 1)}, n1::BIGINT AS n1, n2::BIGINT AS n2, {r('z', 'z')},
+    {r('CASE WHEN z >= 0 THEN 1 - c / 2 ELSE c / 2 END', 'p_less')} FROM (SELECT *, t * exp(-z * z / 2 - 1.26551223
+      + t * (1.00002368 + t * (0.37409196 + t * (0.09678418 + t * (-0.18628806 + t * (0.27886807
+      + t * (-1.13520398 + t * (1.48851587 + t * (-0.82215223 + t * 0.17087277::DOUBLE))))))))) AS c
+      FROM (SELECT *, 1 / (1 + 0.5::DOUBLE * abs(z) / sqrt(2)) AS t
+        FROM (SELECT *, (u - n1 * n2 / 2 + 0.5) / sqrt(n1 * n2 / 12 * ((n + 1) - ties / (n * (n - 1)))) AS z FROM u)))"""))
 def mann_whitney_u(spark, folder):
-    kept = frames.staged_explored(spark, folder).where("order_status = 'delivered'")
-    return rounded(
-        drift.mann_whitney(kept, "dias_retraso", F.col("satisfecho") == 1, F.col("satisfecho") == 0)
-        .drop("p_less").withColumn("u", F.round("u", 1)), 4
-    )
+    kept = frames.explored(spark, folder).where("order_status = 'delivered'")
+    found = drift.mann_whitney(kept, "dias_retraso", F.col("satisfecho") == 1, F.col("satisfecho") == 0)
+    return rounded(found.withColumn("u", F.round("u", 1)), 4)

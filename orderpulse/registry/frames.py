@@ -1,9 +1,11 @@
-"""Frames that several queries start from."""
+"""Frames that several queries start from.
 
-from __future__ import annotations
+Nothing is remembered between queries: each pays for its own inputs and sees
+the files as they are.  A query that reads its frame several times stages the
+columns it needs; the others leave pruning to the optimizer.
+"""
 
-from collections.abc import Callable
-from typing import Any
+from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,26 +14,15 @@ from orderpulse.plans import cleaning, dataset, master
 from orderpulse.sources import star
 from orderpulse.sources.staging import stage
 
-_STAGED: dict[tuple[str, str, str], Any] = {}
-
-
-def _once(spark: SparkSession, folder: str, name: str, build: Callable[[], Any]) -> Any:
-    """Build a shared intermediate once per application and folder."""
-    key = (spark.conf.get("spark.app.id", "app"), folder, name)
-    if key not in _STAGED:
-        _STAGED[key] = build()
-    return _STAGED[key]
-
-
 def features(spark: SparkSession, folder: str) -> DataFrame:
     """Order features before winsorising, built anew."""
     tables = star.roles(spark, folder)
     return master.order_features(tables, tables["regions"], star.HIGH_RISK)
 
 
-def staged_features(spark: SparkSession, folder: str) -> DataFrame:
-    """The same, written once per application and shared by later queries."""
-    return _once(spark, folder, "features", lambda: stage(features(spark, folder), "features"))
+def staged_features(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """The same, written once for a query that reads it several times."""
+    return stage(features(spark, folder).select(*(columns or ["*"])), "features")
 
 
 def explored(spark: SparkSession, folder: str) -> DataFrame:
@@ -39,11 +30,9 @@ def explored(spark: SparkSession, folder: str) -> DataFrame:
     return ft.add_exploratory_features(master.exploratory_master(star.roles(spark, folder)))
 
 
-def staged_explored(spark: SparkSession, folder: str) -> DataFrame:
-    """The same without raw text, written once per application and shared."""
-    return _once(
-        spark, folder, "explored", lambda: stage(explored(spark, folder).drop("review_comment_message"), "explored")
-    )
+def staged_explored(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """The named columns of it, written once for a query that reads them several times."""
+    return stage(explored(spark, folder).select(*columns), "explored")
 
 
 def cleaned(spark: SparkSession, folder: str) -> cleaning.Cleaned:
@@ -52,7 +41,5 @@ def cleaned(spark: SparkSession, folder: str) -> cleaning.Cleaned:
 
 
 def model_data(spark: SparkSession, folder: str) -> dataset.Dataset:
-    """Split, encoded and scaled features, written once per application."""
-    return _once(
-        spark, folder, "dataset", lambda: dataset.model_dataset(cleaned(spark, folder).table, star.CUTOFFS)
-    )
+    """Split, encoded and scaled features, written for the query that asks."""
+    return dataset.model_dataset(cleaned(spark, folder).table, star.CUTOFFS)

@@ -1,7 +1,8 @@
 """Cleaned and model-ready tables, and the queries that fit learners.
 
-Learners have no SQL equivalent, so their queries are checked on rows only;
-the tests check what they must satisfy.
+SQL cannot fit a learner.  Their queries return what it can derive as well
+(rows, positives and target rate as scored) and facts that must hold of the
+fitted model; the metrics themselves are columns of the operators.
 """
 
 from __future__ import annotations
@@ -10,17 +11,18 @@ import uuid
 
 from pyspark.sql import functions as F, types as T
 
-from orderpulse.operators import features as ft, learners as ln, metrics as mt
+from orderpulse.operators import features as ft, learners as ln, metrics as mt, selection as sel
 from orderpulse.plans import monitoring, stepwise, training
 from orderpulse.registry import Registry, frames, r, roles_sql as R, rounded
 from orderpulse.sources import star
-from orderpulse.sources.staging import shared_folder
+from orderpulse.sources.staging import shared_folder, stage
 from orderpulse.streaming import batches
 
 Q = Registry()
 
 DIGITS = 7
 CATEGORIES = ("customer_state", "seller_state", "payment_type", "customer_region", "product_category_name_english")
+# The cleaned table's number columns, in the order in which they are made.
 CLEAN_NUMBERS = (
     "actual_delivery_days", "delivery_delay_days", "delivered_on_time", "promised_delivery_days",
     "approval_time_hours", "dispatch_time_hours", "delay_ratio", "purchase_month", "purchase_dayofweek",
@@ -87,123 +89,190 @@ def model_dataset(spark, folder):
     return rounded(data.table, 5)
 
 
-def _scored(spark, folder, spec):
+PARTS = DATASET_SQL
+FITTED_ON = "split IN ('train', 'val', 'backtest')"
+#: Largest entry of the mean loss's gradient that counts as an optimum.
+STATIONARY = 2e-3
+
+
+def _between(column: str):
+    return F.col(column).between(0.0, 1.0)
+
+
+def _facts(metrics, by):
+    """What SQL can derive too of a table of metrics, and whether the rest of each row is consistent."""
+    valid = (F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp") == F.col("n")) & (F.col("support_0") + F.col("support_1") == F.col("n"))
+    for c in ("auc", "avg_prec", "brier", "accuracy", "f1_0", "f1_1"):
+        valid = valid & _between(c)
+    return rounded(metrics.select(
+        *by, "n", F.col("support_1").alias("positives"), "target_rate", F.coalesce(valid, F.lit(False)).alias("valid")
+    ))
+
+
+def _facts_sql(names: str = "", where: str = FITTED_ON) -> str:
+    return f"""SELECT {names} split, count(*) AS n, sum(satisfecho)::BIGINT AS positives, {r('avg(satisfecho)', 'target_rate')},
+      true AS valid FROM parts WHERE {where} GROUP BY ALL"""
+
+
+def _fitted(spark, folder, spec):
     data = frames.model_data(spark, folder)
-    model = ln.fit(spec, data.part("train"), data.features, data.label, data.key)
+    return data, ln.fit(spec, data.part("train"), data.features, data.label, data.key)
+
+
+def _scored(data, model):
+    """Scores are written once; then every metric of a split, and whether all probabilities are such."""
     rows = data.part("train", "val", "backtest")
-    scored = model.score(rows.select(data.key, "split", F.col(data.label).alias("label"), *data.features))
-    return mt.all_metrics(scored.select("split", "label", "proba"), ["split"])
+    scored = stage(
+        model.score(rows.select(data.key, "split", F.col(data.label).alias("label"), *model.features)).select(
+            "split", "label", "proba"
+        ), "scores",
+    )
+    facts = _facts(mt.all_metrics(scored, ["split"]), ["split"])
+    range_ = scored.groupBy("split").agg(F.bool_and(F.coalesce(_between("proba"), F.lit(False))).alias("_in"))
+    return facts.join(range_, "split").withColumn("valid", F.col("valid") & F.col("_in")).drop("_in")
 
 
-@Q.query("logistic_model")
+@Q.query("logistic_model", R.sql(PARTS, f"SELECT *, true AS optimal FROM ({_facts_sql()})"))
 def logistic_model(spark, folder):
-    return _scored(spark, folder, ln.Spec(ln.LOGISTIC, {"C": 1.0, "class_weight": "balanced"}))
+    """Rows and positives as scored; the gradient vanishes at the fitted weights."""
+    spec = ln.Spec(ln.LOGISTIC, {"C": 1.0, "class_weight": "balanced"})
+    data, model = _fitted(spark, folder, spec)
+    steepest = max(map(abs, ln.logistic_gradient(model, spec, data.part("train"), data.label).values()))
+    return _scored(data, model).withColumn("optimal", F.lit(steepest < STATIONARY))
+
 
+@Q.query("elastic_net_model", R.sql(PARTS, f"SELECT *, true AS sparse FROM ({_facts_sql()})"))
+def elastic_net_model(spark, folder):
+    """Half of the penalty on absolute weights, strong enough that some of them vanish."""
+    data, model = _fitted(spark, folder, ln.Spec(ln.LOGISTIC, {"C": 0.01, "l1_ratio": 0.5, "class_weight": "balanced"}))
+    weights, _ = model.linear_weights()
+    return _scored(data, model).withColumn("sparse", F.lit(0.0 in weights.values()))
 
-@Q.query("forest_model")
+
+@Q.query("forest_model", R.sql(PARTS, _facts_sql()))
 def forest_model(spark, folder):
-    return _scored(spark, folder, ln.Spec(ln.FOREST, {"n_estimators": 20, "max_depth": 6, "class_weight": "balanced"}))
+    return _scored(*_fitted(spark, folder, stepwise.JUDGE))
 
 
-@Q.query("boosting_model")
+@Q.query("boosting_model", R.sql(PARTS, _facts_sql()))
 def boosting_model(spark, folder):
-    return _scored(spark, folder, ln.Spec(ln.BOOSTING, {"max_iter": 8, "max_depth": 3}))
+    return _scored(*_fitted(spark, folder, training.BASELINES["Gradient Boosting"]))
 
 
-@Q.query("calibrated_svm")
+@Q.query("calibrated_svm", R.sql(PARTS, _facts_sql()))
 def calibrated_svm(spark, folder):
-    return _scored(spark, folder, ln.Spec(ln.SVM, {"C": 0.1, "max_iter": 15, "calibration_method": "sigmoid"}))
+    return _scored(*_fitted(spark, folder, training.BASELINES["linearSVM"]))
 
 
-@Q.query("isotonic_svm")
+@Q.query("isotonic_svm", R.sql(PARTS, _facts_sql()))
 def isotonic_svm(spark, folder):
-    return _scored(spark, folder, ln.Spec(ln.SVM, {"C": 0.1, "max_iter": 15, "calibration_method": "isotonic"}))
+    return _scored(*_fitted(spark, folder, ln.Spec(ln.SVM, {"C": 1.0, "calibration_method": "isotonic"})))
+
+
+# One row per feature, with the number of its distinct values on the training rows.
+_DISTINCT = " UNION ALL ".join(
+    f"SELECT '{f}' AS feature, count(DISTINCT {f}) AS found FROM encoded WHERE split = 'train'" for f in FEATURES
+)
 
 
-@Q.query("rf_importance")
+@Q.query("rf_importance", R.sql(PARTS, f"""SELECT feature, true AS valid, 1.0::DOUBLE AS total FROM ({_DISTINCT})"""))
 def rf_importance(spark, folder):
-    data = frames.model_data(spark, folder)
-    model = ln.fit(stepwise.JUDGE, data.part("train"), data.features, data.label, data.key)
-    return spark.createDataFrame(list(model.importances().items()), "feature string, importance double").orderBy(
-        F.col("importance").desc(), "feature"
-    )
+    """Importances lie between 0 and 1, add up to 1, and a constant feature has none."""
+    data, model = _fitted(spark, folder, stepwise.JUDGE)
+    found = model.importances()
+    varied = set(sel.nonconstant(data.part("train"), data.features))
+    rows = [(f, 0 <= v <= 1 and (f in varied or v == 0), round(sum(found.values()), 6)) for f, v in found.items()]
+    return spark.createDataFrame(rows, "feature string, valid boolean, total double")
 
 
-_QUICK = ln.Spec(ln.FOREST, {"n_estimators": 10, "max_depth": 4, "class_weight": "balanced", "seed": 42})
+_CANDIDATES = ((1, 2), (2, 1), (3, 4), (4, 3), (5, 1), (6, 3))
 
 
-@Q.query("stepwise_selection")
+@Q.query("stepwise_selection", "SELECT * FROM (VALUES (0, 'Estado_Inicial', 1, true), " + ", ".join(
+    f"({step}, '{stepwise.STEPS[step - 1]}', {n}, true)" for step, n in _CANDIDATES
+) + ") AS t(paso, metodo, candidatos, valid)")
 def stepwise_selection(spark, folder):
-    """All six steps with a small judging forest and the rank AUC per feature."""
-    data = frames.model_data(spark, folder)
-    return stepwise.select_features(data, judge=_QUICK, univariate=stepwise.rank_aucs).steps
+    """Candidates per step; each keeps and drops the same features in all, and at most one of them wins."""
+    steps = stepwise.select_features(frames.model_data(spark, folder)).steps
+    split = F.col("n_features") + F.col("n_eliminadas")
+    valid = (F.count_if("elegido") <= 1) & (F.min(split) == F.max(split))
+    return steps.groupBy("paso", "metodo").agg(F.count("*").cast("int").alias("candidatos"), valid.alias("valid"))
 
 
-@Q.query("univariate_forest")
+@Q.query("univariate_forest", R.sql(PARTS, f"SELECT feature, found > 1 AS varied, true AS valid FROM ({_DISTINCT})"))
 def univariate_forest(spark, folder):
+    """A forest per feature: an AUC for each that varies, none for a constant one."""
     data = frames.model_data(spark, folder)
-    shown = [f for f in data.features if f.startswith(("interaccion", "te_"))]
-    found = stepwise.forest_aucs(data, shown, ("train", "val"))
-    return spark.createDataFrame([(f, found[f]) for f in shown], "feature string, auc double")
+    found = stepwise.forest_aucs(data, data.features, ("train", "val"))
+    rows = [(f, v is not None, v is None or 0 <= v <= 1) for f, v in found.items()]
+    return spark.createDataFrame(rows, "feature string, varied boolean, valid boolean")
 
 
-@Q.query("baseline_models")
+@Q.query("baseline_models", R.sql(PARTS, "SELECT m.model, f.*, true AS listed FROM (" + _facts_sql(where="split IN ('train', 'val')")
+    + ") f, (VALUES " + ", ".join(f"('{m}')" for m in training.BASELINES) + ") AS m(model)"))
 def baseline_models(spark, folder):
-    data = frames.model_data(spark, folder)
-    specs = {
-        "Logistic Regression": ln.Spec(ln.LOGISTIC, {"C": 1.0}),
-        "Random Forest": ln.Spec(ln.FOREST, {"n_estimators": 20, "max_depth": 8}),
-    }
-    out = training.train_baselines(data, specs)
-    board = out.leaderboard.select("model", "rank", "auc", "avg_prec", "mcc", "kappa", "bal_acc", "gmean", "brier")
-    return board.join(out.overfit, "model").join(
-        out.thresholds.select("model", F.col("threshold").alias("best_threshold"), F.col("f1").alias("best_f1")), "model"
+    """All baselines; each has a rank, an overfit flag and a threshold on the grid."""
+    out = training.train_baselines(frames.model_data(spark, folder))
+    listed = out.leaderboard.join(out.overfit, "model").join(out.thresholds.select("model", "threshold"), "model").select(
+        "model", (F.col("rank").between(1, len(training.BASELINES)) & F.col("overfit").isNotNull() & _between("threshold")).alias("listed")
     )
+    return _facts(out.metrics, ["model", "split"]).join(listed, "model")
 
 
-@Q.query("tuned_models")
-def tuned_models(spark, folder):
-    """Two draws, two folds: the whole tuning path at its smallest."""
-    data = frames.model_data(spark, folder)
-    spaces = {"Logistic Regression": training.SPACES["Logistic Regression"]}
-    spaces["Forest"] = lambda rng: ln.Spec(
-        ln.FOREST, {"n_estimators": rng.randint(5, 10), "max_depth": rng.randint(2, 5), "class_weight": "balanced"}
-    )
-    tuned = training.tune(data, spaces, trials=2, folds=2)
-    stacked = tuned.stacked.select(F.lit("Stacking").alias("model"), "split", "auc", "f1_0", "f1_1", "accuracy")
-    return tuned.metrics.select("model", "split", "auc", "f1_0", "f1_1", "accuracy").unionByName(stacked).join(
-        tuned.cv, "model", "left"
-    )
+_TUNED = ("Logistic Regression", "LinearSVC")
+_ROUNDS = (0, 1)
 
 
-@Q.query("batch_report_trend")
-def batch_report_trend(spark, folder):
-    """Score two periods with one model and return the metric history."""
+@Q.query("tuned_models", R.sql(PARTS, "SELECT m.pos_label, m.model, f.*, m.folds FROM ("
+    + _facts_sql(where="split IN ('val', 'backtest')") + ") f, (VALUES " + ", ".join(
+        f"({k}, '{m}', {5 if m in _TUNED else 'NULL'}::BIGINT)" for k in _ROUNDS for m in (*_TUNED, "Stacking")
+    ) + ") AS m(pos_label, model, folds)"))
+def tuned_models(spark, folder):
+    """Two rounds, one per class: two draws a learner, five folds, refit and stacking."""
     data = frames.model_data(spark, folder)
-    model = ln.fit(ln.Spec(ln.LOGISTIC, {"class_weight": "balanced"}), data.part("train"), data.features, data.label, data.key)
+    spaces = {name: training.SPACES[name] for name in _TUNED}
+    out = None
+    for pos_label in _ROUNDS:
+        tuned = training.tune(data, spaces, trials=2, pos_label=pos_label)
+        stacked = tuned.stacked.withColumn("model", F.lit("Stacking"))
+        facts = _facts(tuned.metrics.unionByName(stacked), ["model", "split"])
+        found = facts.join(tuned.cv.select("model", "folds"), "model", "left").withColumn("pos_label", F.lit(pos_label))
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+@Q.query("batch_report_trend", R.sql(PARTS, """SELECT '2026-01-01 00:00:00' AS "timestamp", 1 AS run, count(*) AS n_registros, true AS valid
+    FROM parts WHERE split = 'backtest'
+    UNION ALL SELECT '2026-02-01 00:00:00', 2, count(*), true FROM parts WHERE split = 'live'"""))
+def batch_report_trend(spark, folder):
+    """Score two periods with one model, append both to the history, and read its trend."""
+    data, model = _fitted(spark, folder, ln.Spec(ln.LOGISTIC, {"class_weight": "balanced"}))
     history = f"{shared_folder(spark)}/history-{uuid.uuid4().hex}"
     monitoring.batch_report(data.part("backtest"), model, history, timestamp="2026-01-01 00:00:00")
-    return monitoring.batch_report(data.part("live"), model, history, timestamp="2026-02-01 00:00:00")["trend"]
+    trend = monitoring.batch_report(data.part("live"), model, history, timestamp="2026-02-01 00:00:00")["trend"]
+    valid = _between("auc_roc") & _between("accuracy") & _between("f1_clase_0")
+    return trend.select("timestamp", "run", "n_registros", valid.alias("valid"))
 
 
-@Q.query("streamed_batches")
+@Q.query("streamed_batches", R.sql(PARTS, "SELECT count(*) AS n, true AS valid FROM parts WHERE split IN ('backtest', 'live')"))
 def streamed_batches(spark, folder):
-    """Score the model table as arriving files and return the rows per batch."""
-    data = frames.model_data(spark, folder)
-    model = ln.fit(ln.Spec(ln.LOGISTIC, {"class_weight": "balanced"}), data.part("train"), data.features, data.label, data.key)
+    """Score the model table as arriving files: every row is scored in one batch or another."""
+    data, model = _fitted(spark, folder, ln.Spec(ln.LOGISTIC, {"class_weight": "balanced"}))
     base = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     data.part("backtest", "live").write.parquet(f"{base}/in")
     schema = T.StructType(data.table.schema.fields)
     batches.score_new_batches(
         spark, f"{base}/in", schema, model, f"{base}/out", f"{base}/checkpoint", data.label, data.key
     ).awaitTermination()
-    return batches.batch_history(spark, f"{base}/out")
+    valid = F.bool_and(_between("auc") & _between("accuracy") & _between("f1_0"))
+    return batches.batch_history(spark, f"{base}/out").agg(F.sum("n").alias("n"), valid.alias("valid"))
 
 
-@Q.query("coefficient_table")
+@Q.query("coefficient_table", R.sql(PARTS, f"SELECT feature, true AS stationary FROM ({_DISTINCT})"))
 def coefficient_table(spark, folder):
-    data = frames.model_data(spark, folder)
-    model = ln.fit(ln.Spec(ln.LOGISTIC, {"C": 1.0}), data.part("train"), data.features, data.label, data.key)
-    return monitoring.coefficient_table(model, spark)
-
-
+    """Every feature's weight, at which the loss has no slope."""
+    spec = ln.Spec(ln.LOGISTIC, {"C": 1.0})
+    data, model = _fitted(spark, folder, spec)
+    slopes = ln.logistic_gradient(model, spec, data.part("train"), data.label)
+    flat = F.create_map(*[F.lit(x) for f, g in slopes.items() for x in (f, abs(g) < STATIONARY)])
+    return monitoring.coefficient_table(model, spark).select("feature", F.element_at(flat, F.col("feature")).alias("stationary"))

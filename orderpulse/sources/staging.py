@@ -7,6 +7,7 @@ instead of recomputing a long plan, and they read only the columns they need.
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
 import uuid
 
@@ -14,15 +15,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, else by ``SparkContext.setCheckpointDir``.
 
-    Only a local master may fall back to a scratch folder of this machine;
-    on a cluster a missing setting is an error.
+    Only a master within this process may fall back to a scratch folder of this
+    machine; on a cluster, ``local-cluster`` included, a missing setting is an error.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return _local_scratch()
 

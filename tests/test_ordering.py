@@ -37,14 +37,16 @@ def test_running_totals_descending(skewed):
     assert got.c_cum.iloc[-1] == len(pdf)
 
 
-def test_results_do_not_depend_on_the_number_of_ranges(spark, skewed):
-    _, df = skewed
+def test_results_do_not_depend_on_the_number_of_ranges(skewed, monkeypatch):
+    pdf, df = skewed
     frames = []
-    for n in ("2", "64"):
-        old = spark.conf.get("spark.sql.shuffle.partitions")
-        spark.conf.set("spark.sql.shuffle.partitions", n)
-        frames.append(od.running_totals(df, "v", {"c": F.lit(1)}).orderBy("v").toPandas())
-        spark.conf.set("spark.sql.shuffle.partitions", old)
+    for n in (od.RANGE_ROWS, 50):
+        monkeypatch.setattr(od, "RANGE_ROWS", n)
+        totals = od.running_totals(df, "v", {"c": F.lit(1)}, by=["g"])
+        frames.append(od.with_lower(totals, ["g"], "v", ["c"]).select("*", "lower.c").drop("lower").orderBy("g", "v").toPandas())
+        got = od.positions(df, [F.col("v").desc(), F.col("id")], by=["g"]).toPandas().sort_values(["g", "pos"])
+        want = pdf.sort_values(["g", "v", "id"], ascending=[True, False, True])
+        assert got.id.tolist() == want.id.tolist()
     pd.testing.assert_frame_equal(*frames)
 
 
@@ -132,8 +134,9 @@ def test_folds_are_even_within_classes_and_repeatable(spark):
     assert key(pr.stratified_folds(df, seed=1).toPandas()) != key(folds)
 
 
-def test_a_hot_value_is_spread_over_ranges(spark):
+def test_a_hot_value_is_spread_over_ranges(spark, monkeypatch):
     """All rows tie on the score: the key still splits them, and numbering holds."""
+    monkeypatch.setattr(od, "RANGE_ROWS", 500)
     df = spark.range(4000).selectExpr("id", "0.5D AS v", "cast(id % 7 = 0 AS int) AS y").repartition(4)
     ranged = df.repartitionByRange(od.range_count(df), "v", "id").withColumn("r", F.spark_partition_id())
     assert ranged.select("r").distinct().count() > 1
@@ -147,9 +150,18 @@ class _Conf(dict):
         return dict.get(self, key, default)
 
 
+class _Context:
+    def __init__(self, folder):
+        self.folder = folder
+
+    def getCheckpointDir(self):
+        return self.folder
+
+
 class _Session:
-    def __init__(self, **settings):
+    def __init__(self, folder=None, **settings):
         self.conf = _Conf({k.replace("_", "."): v for k, v in settings.items()})
+        self.sparkContext = _Context(folder)
 
 
 def test_clusters_must_name_a_shared_folder():
@@ -157,5 +169,8 @@ def test_clusters_must_name_a_shared_folder():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(_Session(spark_master="yarn"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(_Session(spark_master="local-cluster[2,1,1024]"))
+    assert shared_folder(_Session("/shared/y", spark_master="yarn")) == "/shared/y"
     assert shared_folder(_Session(spark_master="yarn", spark_checkpoint_dir="/shared/x/")) == "/shared/x"
     assert shared_folder(_Session(spark_master="local[2]"))
