@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, Row, functions as F, types as T
 
 from orderpulse.functions import expressions as ex
 from orderpulse.operators.quantiles import exact_quantiles
+from orderpulse.sources.staging import stage
 
 # Column groups that cleaning removes, the categories it buckets
 # and the fill texts.
@@ -27,6 +29,7 @@ DROP_GROUPS: dict[str, list[str]] = {
 CATEGORY_COLUMNS = (
     "product_category_name_english", "customer_state", "seller_state", "payment_type", "customer_region",
 )
+PARALLELISM = 4  # tables profiled side by side
 UNKNOWN_TEXT = "desconocido"
 OTHER_TEXT = "otros"
 
@@ -34,33 +37,42 @@ OTHER_TEXT = "otros"
 def table_profile(df: DataFrame, name: str) -> DataFrame:
     """Rows, columns, missing cells, columns with missing cells and exact duplicates.
 
-    One pass: identical rows are counted together first, the rest follows from
-    the counts.
+    Cells are counted in one scan without a shuffle; see :func:`repeats` for the duplicates.
     """
-    nulls = _null_totals(df)
-    totals = nulls.agg(
-        F.sum("_n").alias("filas"),
-        F.sum(F.col("_n") - 1).alias("_dup"),
-        *[F.sum(F.when(F.col(f"_m{i}"), F.col("_n")).otherwise(0)).alias(f"_c{i}") for i in range(len(df.columns))],
+    missing = [F.count_if(F.col(c).isNull()) for c in df.columns]
+    add = lambda a, b: a + b
+    counts = df.agg(
+        F.count("*").alias("filas"),
+        reduce(add, missing).alias("nulos_total"),
+        reduce(add, [ex.flag(m > 0) for m in missing]).alias("columnas_con_nulos"),
     )
-    cells = [F.coalesce(f"_c{i}", F.lit(0)) for i in range(len(df.columns))]
-    return totals.select(
-        F.lit(name).alias("tabla"),
-        F.coalesce("filas", F.lit(0)).cast("long").alias("filas"),
-        F.lit(len(df.columns)).alias("columnas"),
-        reduce(lambda a, b: a + b, cells).cast("long").alias("nulos_total"),
-        reduce(lambda a, b: a + b, [ex.flag(c > 0) for c in cells]).alias("columnas_con_nulos"),
-        F.coalesce("_dup", F.lit(0)).cast("long").alias("duplicados"),
+    return counts.select(
+        F.lit(name).alias("tabla"), "filas", F.lit(len(df.columns)).alias("columnas"), "nulos_total",
+        "columnas_con_nulos", repeats(df).scalar().alias("duplicados"),
     )
 
 
-def _null_totals(df: DataFrame) -> DataFrame:
-    grouped = df.groupBy(*df.columns).agg(F.count("*").alias("_n"))
-    return grouped.select("_n", *[F.col(c).isNull().alias(f"_m{i}") for i, c in enumerate(df.columns)])
+def repeats(df: DataFrame) -> DataFrame:
+    """One row: how many rows repeat an earlier identical row; missing cells are equal.
+
+    Two hashes of each row are shuffled instead of the row.  Only rows whose
+    hashes occur twice are compared in full, column by column.
+    """
+    gone = [F.col(c).isNull() for c in df.columns]
+    marked = df.withColumns(
+        {"_h1": F.xxhash64(*df.columns), "_h2": F.xxhash64(*gone, *reversed(df.columns))}
+    )
+    # written, so that the size of the join's small side is known
+    shared = stage(marked.groupBy("_h1", "_h2").count().where("count > 1").select("_h1", "_h2"), "shared")
+    groups = marked.join(shared, ["_h1", "_h2"], "left_semi").groupBy(*df.columns).agg(F.count("*").alias("_n"))
+    return groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicates"))
 
 
 def profile_all(tables: Mapping[str, DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), [table_profile(df, name) for name, df in tables.items()])
+    # the hashes that repeat are written per table: side by side
+    with ThreadPoolExecutor(PARALLELISM) as pool:
+        profiles = list(pool.map(lambda item: table_profile(item[1], item[0]), tables.items()))
+    return reduce(lambda a, b: a.unionByName(b), profiles)
 
 
 def quality_alerts(profiles: DataFrame) -> DataFrame:
@@ -91,11 +103,7 @@ def profile_summary(profiles: DataFrame, expected: int) -> DataFrame:
 
 def duplicate_count(df: DataFrame) -> DataFrame:
     """Rows, and rows that repeat an earlier identical row."""
-    return (
-        df.groupBy(*df.columns)
-        .agg(F.count("*").alias("_n"))
-        .agg(F.sum("_n").alias("n_rows"), F.sum(F.col("_n") - 1).alias("duplicates"))
-    )
+    return df.agg(F.count("*").alias("n_rows")).select("n_rows", repeats(df).scalar().alias("duplicates"))
 
 
 def missing_report(df: DataFrame, all_columns: bool = False) -> DataFrame:
@@ -274,6 +282,8 @@ def bucket_rare(
     Only the frequent categories travel to the driver: at most 1/threshold per
     column, however many rare ones there are.
     """
+    if threshold <= 0:
+        raise ValueError("the share threshold must be above 0")
     present = [c for c in columns if c in df.columns]
     if not present:
         return df

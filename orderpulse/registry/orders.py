@@ -179,7 +179,7 @@ def features_customer(spark, folder):
 
 @Q.query("features_interaction", R.sql(R.MASTER, f"SELECT {_cols(INTERACTION)} FROM master"))
 def features_interaction(spark, folder):
-    return rounded(frames.staged_features(spark, folder).select("order_id", *INTERACTION), DIGITS)
+    return rounded(frames.features(spark, folder).select("order_id", *INTERACTION), DIGITS)
 
 
 _WINSOR = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
@@ -211,6 +211,21 @@ _MASTER_PLAIN = (
 )
 
 
+MASTER_DATES = (
+    "order_purchase_timestamp", "order_approved_at", "order_estimated_delivery_date", "order_delivered_carrier_date",
+    "order_delivered_customer_date",
+)
+MASTER_TEXTS = (
+    "order_status", "customer_state", "customer_city", "customer_region", "seller_state", "seller_city", "payment_type",
+    "product_category_name_english", "purchase_year_month", "review_comment_message", "review_comment_title",
+)
+MASTER_NUMBERS = (
+    "order_id", *(c for c in (*_MASTER_DOUBLES, *_MASTER_PLAIN, *ft.WINSOR_COLUMNS) if c not in MASTER_TEXTS),
+)
+#: Every column of the feature master.
+MASTER_COLUMNS = (*MASTER_DATES, *MASTER_TEXTS, *MASTER_NUMBERS)
+
+
 @Q.query("master_features", R.sql(R.MASTER + ", " + _winsor_sql("master", ft.WINSOR_COLUMNS),
     f"""SELECT {_cols(_MASTER_DOUBLES, _MASTER_PLAIN)}, {', '.join(_clip(c, DIGITS) for c in ft.WINSOR_COLUMNS)}
     FROM master, bounds"""))

@@ -289,12 +289,10 @@ def running_max(spark, folder):
 @Q.query(
     "duplicate_rows",
     """SELECT (SELECT count(*) FROM lineitem) AS n_rows,
-       (SELECT count(*) FROM (SELECT l_orderkey, l_linenumber FROM lineitem))
-       - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) AS duplicates""",
+       (SELECT count(*) FROM lineitem) - (SELECT count(*) FROM (SELECT DISTINCT * FROM lineitem)) AS duplicates""",
 )
 def duplicate_rows(spark, folder):
-    keys = star.table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber")
-    return qa.duplicate_count(keys)
+    return qa.duplicate_count(star.table(spark, folder, "lineitem"))
 
 
 @Q.query(
