@@ -219,26 +219,29 @@ def baseline_models(spark, folder):
     return _facts(out.metrics, ["model", "split"]).join(listed, "model")
 
 
-_TUNED = ("Logistic Regression", "LinearSVC")
-_ROUNDS = (0, 1)
+def _tuned_sql(names) -> str:
+    models = ", ".join(f"('{m}', {'NULL' if m == 'Stacking' else 5}::BIGINT)" for m in (*names, "Stacking"))
+    return R.sql(PARTS, f"""SELECT m.model, f.*, m.folds FROM ({_facts_sql(where="split IN ('val', 'backtest')")}) f,
+      (VALUES {models}) AS m(model, folds)""")
 
 
-@Q.query("tuned_models", R.sql(PARTS, "SELECT m.pos_label, m.model, f.*, m.folds FROM ("
-    + _facts_sql(where="split IN ('val', 'backtest')") + ") f, (VALUES " + ", ".join(
-        f"({k}, '{m}', {5 if m in _TUNED else 'NULL'}::BIGINT)" for k in _ROUNDS for m in (*_TUNED, "Stacking")
-    ) + ") AS m(pos_label, model, folds)"))
+def _tuned(spark, folder, names, pos_label):
+    """A round of the search: two draws a learner, five folds, refit and stacking."""
+    spaces = {name: training.SPACES[name] for name in names}
+    tuned = training.tune(frames.model_data(spark, folder), spaces, trials=2, pos_label=pos_label)
+    stacked = tuned.stacked.withColumn("model", F.lit("Stacking"))
+    facts = _facts(tuned.metrics.unionByName(stacked, allowMissingColumns=True), ["model", "split"])
+    return facts.join(tuned.cv.select("model", "folds"), "model", "left")
+
+
+@Q.query("tuned_models", _tuned_sql(["Logistic Regression", "LinearSVC"]))
 def tuned_models(spark, folder):
-    """Two rounds, one per class: two draws a learner, five folds, refit and stacking."""
-    data = frames.model_data(spark, folder)
-    spaces = {name: training.SPACES[name] for name in _TUNED}
-    out = None
-    for pos_label in _ROUNDS:
-        tuned = training.tune(data, spaces, trials=2, pos_label=pos_label)
-        stacked = tuned.stacked.withColumn("model", F.lit("Stacking"))
-        facts = _facts(tuned.metrics.unionByName(stacked), ["model", "split"])
-        found = facts.join(tuned.cv.select("model", "folds"), "model", "left").withColumn("pos_label", F.lit(pos_label))
-        out = found if out is None else out.unionByName(found)
-    return out
+    return _tuned(spark, folder, ["Logistic Regression", "LinearSVC"], 0)
+
+
+@Q.query("tuned_models_class_1", _tuned_sql(["Logistic Regression"]))
+def tuned_models_class_1(spark, folder):
+    return _tuned(spark, folder, ["Logistic Regression"], 1)
 
 
 @Q.query("batch_report_trend", R.sql(PARTS, """SELECT '2026-01-01 00:00:00' AS "timestamp", 1 AS run, count(*) AS n_registros, true AS valid

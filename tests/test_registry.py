@@ -1,18 +1,26 @@
 """Every registered query next to its SQL, on the smallest tables."""
 
+import functools
 import os
 
 import pytest
 
 import __spark_entry__ as entry
 from oracle_check import compare, connect
+from orderpulse.registry import frames
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables not present")
 
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
-# the longest-running learners are covered by their own tests
-SLOW = {"stepwise_selection", "tuned_models", "calibrated_svm", "isotonic_svm", "boosting_model", "baseline_models"}
+
+
+@pytest.fixture(scope="module", autouse=True)
+def shared_model_table():
+    """The learner queries start from one model table: build it once for all of their tests."""
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(frames, "model_data", functools.cache(frames.model_data))
+        yield
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +28,7 @@ def duck():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n not in SLOW])
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, duck, name):
     got = QUERIES[name](spark, FOLDER).toPandas()
     if name in SQL:
