@@ -11,7 +11,8 @@ the tasks hold of it has a bound however large the benchmark is.
 
 Edge cases: a missing text has no words; a missing document id is kept as it is; a missing item id marks words but is
 not listed among the items; equal items count once per id; repeated documents are searched and returned one by one;
-empty tables give no rows, an empty benchmark no hits; other columns are ignored.
+empty tables give no rows, an empty benchmark no hits; other columns are ignored, and kept by
+:func:`drop_contaminated` whatever their names.
 """
 
 from __future__ import annotations
@@ -318,8 +319,10 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id"
     """The documents whose hit words are fewer than one in twenty, with all their columns."""
     bad = contamination(docs, benchmark, key=key, text=text).where(CONTAMINATED)
     bad = stage(bad.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct(), "contaminated")
-    same = F.col(key).cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_hash"))
-    return docs.join(bad, same, "left_anti")
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash"))
+    # a row is one struct, so its names can't clash with those used here
+    packed = docs.select(F.struct("*").alias("row"), F.col(key).cast("long").alias("id"), F.xxhash64(text).alias("hash"))
+    return packed.join(bad, same, "left_anti").select("row.*")
 
 
 # --- proximity -------------------------------------------------------------------------------------------------------

@@ -10,7 +10,8 @@ source and id are never inputs of a prediction.
 
 Edge cases: a missing text or one without a letter is ``und`` with score 0; without any training row every text is; a
 missing id counts as not held out and is not learned from; ties go to the first language in sorted order; repeated rows
-come back one by one; an empty table gives no rows; other columns are ignored, and kept by :func:`drop_unidentified`.
+come back one by one; an empty table gives no rows; other columns are ignored, and kept by :func:`drop_unidentified`
+whatever their names.
 """
 
 from __future__ import annotations
@@ -268,14 +269,15 @@ def drop_unidentified(docs: DataFrame, text: str = "text", least: float = LEAST_
     net = train(training_sample(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = columns.index(text)
         for batch in batches:
-            texts = batch.column(at).to_pylist()
+            texts = batch.column(0).field(at).to_pylist()
             known = [i for i, t in enumerate(texts) if t is not None and _LETTER.search(t)]
             keep = np.zeros(len(texts), bool)
             if known and net is not None:
                 keep[known] = document_probabilities(net, [texts[i].encode() for i in known]).max(axis=1) >= least
             yield batch.filter(pa.array(keep))
 
-    columns = docs.columns
-    return docs.mapInArrow(run, docs.schema)
+    at = docs.columns.index(text)
+    # a row is one struct, so any column name passes
+    packed = docs.select(F.struct("*").alias("row"))
+    return packed.mapInArrow(run, packed.schema).select("row.*")

@@ -7,7 +7,7 @@ expression itself over the whole text, and rules whose expression has no mandato
 
 Edge cases: a missing text counts as empty; a missing key is a key of its own; repeated rows are scanned and returned
 one by one (a key's candidates are those of all its rows, a superset that verification corrects); an empty table gives
-no rows; columns beyond key and text are neither read nor returned, except by :func:`redact`.
+no rows; columns beyond key and text are neither read nor returned, except by :func:`redact`, whatever their names.
 """
 
 from __future__ import annotations
@@ -235,26 +235,32 @@ def _spans(text: Column, rule: Rule, number: int) -> Column:
 
 
 def find_secrets(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", rules: Sequence[Rule] = RULES, keep: Sequence[str] = ()
+    docs: DataFrame, key: str = "doc_id", text: str = "text", rules: Sequence[Rule] = RULES
 ) -> DataFrame:
-    """One row per document: ``key``, the ``keep`` columns and ``_spans``, sorted by start, then by rule.
+    """One row per document: ``key`` and ``_spans``, sorted by start, then by rule.
 
     A span is ``(start, number of the rule, end, kind)``, end exclusive.  Candidates come from the trigram index.
     """
-    found = candidates(trigram_postings(docs, vocabulary(rules), key, text), rules).withColumnRenamed("key", "_key")
+    found = _scanned(docs, F.struct(key, text), key, text, rules)
+    return found.select(F.col("row")[key].alias(key), F.col("spans").alias("_spans"))
+
+
+def _scanned(docs: DataFrame, row: Column, key: str, text: str, rules: Sequence[Rule]) -> DataFrame:
+    """Rows ``row, spans``; ``row`` is a struct that holds key and text at least, so no name in it can clash."""
+    found = candidates(trigram_postings(docs, vocabulary(rules), key, text), rules)
     # the small side is hashed, so the texts are shuffled but not sorted
-    wanted = dict.fromkeys([key, *keep])
-    kept = docs.select(*[F.col(c) for c in wanted], F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    joined = kept.join(found.hint("shuffle_hash"), F.col(key).eqNullSafe(F.col("_key")), "left")
+    kept = docs.select(row.alias("row"))
+    joined = kept.join(found.hint("shuffle_hash"), F.col("row")[key].eqNullSafe(F.col("key")), "left")
+    whole = F.coalesce(F.col("row")[text], F.lit(""))
     empty = F.array().cast("array<struct<start:int,number:int,end:int,kind:string>>")
     parts = []
     for number, rule in enumerate(rules):
         if trigram_query(rule.pattern):
             possible = F.coalesce(F.col(f"c_{rule.kind}"), F.lit(False))
         else:
-            possible = F.col("_text").rlike(rule.pattern if rule.least < 2 or rule.group else _at_least(rule))
-        parts.append(F.when(possible, _spans(F.col("_text"), rule, number)).otherwise(empty))
-    return joined.select(*wanted, F.array_sort(F.concat(*parts)).alias("_spans"))
+            possible = whole.rlike(rule.pattern if rule.least < 2 or rule.group else _at_least(rule))
+        parts.append(F.when(possible, _spans(whole, rule, number)).otherwise(empty))
+    return joined.select("row", F.array_sort(F.concat(*parts)).alias("spans"))
 
 
 def _at_least(rule: Rule) -> str:
@@ -287,8 +293,8 @@ def redact(docs: DataFrame, key: str = "doc_id", text: str = "text", mark: str =
 
     A missing text stays missing; a column ``n_chars`` follows the new text.
     """
-    found = find_secrets(docs, key, text, keep=docs.columns)
-    whole = F.col(text)
+    found = _scanned(docs, F.struct("*"), key, text, RULES)
+    row, whole = F.col("row"), F.col("row")[text]
 
     def step(acc: Column, s: Column) -> Column:
         fresh = s["start"] >= acc["at"]
@@ -300,18 +306,19 @@ def redact(docs: DataFrame, key: str = "doc_id", text: str = "text", mark: str =
         )
 
     clean = F.aggregate(
-        "_spans",
+        "spans",
         F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
         step,
         lambda acc: F.concat(acc["out"], F.substring(whole, acc["at"] + 1, F.length(whole))),
     )
-    changed = F.when(F.size("_spans") > 0, clean).otherwise(whole)
-    out = found.withColumn(text, changed)
+    # written into a struct first, so that the new text is made once
+    fresh = found.select("row", F.when(F.size("spans") > 0, F.struct(clean.alias("text"))).alias("new"))
+    altered = F.col("new").isNotNull()
+    values = {text: F.when(altered, F.col("new")["text"]).otherwise(whole)}
     if "n_chars" in docs.columns:
-        out = out.withColumn(
-            "n_chars", F.when(F.size("_spans") > 0, F.length(text).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-        )
-    return out.select(*docs.columns)
+        size = F.length(F.col("new")["text"]).cast(docs.schema["n_chars"].dataType)
+        values["n_chars"] = F.when(altered, size).otherwise(row["n_chars"])
+    return fresh.select(*[values.get(c, row[c]).alias(c) for c in docs.columns])
 
 
 def secret_sql() -> str:

@@ -10,7 +10,7 @@ per pair.  Components come from alternating star contraction, with every round w
 
 Edge cases: a missing text has no words and fingerprint zero, linked like any other; a missing document id takes part
 but is never the smallest one, and a component without any id has none; repeated rows come back one by one; an empty
-table gives no rows; other columns are ignored, and kept by :func:`drop_near_copies`.
+table gives no rows; other columns are ignored, and kept by :func:`drop_near_copies` whatever their names and types.
 """
 
 from __future__ import annotations
@@ -228,7 +228,7 @@ def near_copy_digest(docs: DataFrame) -> DataFrame:
 def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each component with all its columns: that with the smallest id, a missing id last.
 
-    Copies of one id are told apart by their texts and then by their other columns.
+    Copies of one id are told apart by their texts and then by their other columns, written as JSON.
     """
     found = near_copies(docs, key, text)
     # at most one row per task and component is shuffled
@@ -236,6 +236,10 @@ def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("text_hash"))).alias("k")
     )
     kept = stage(best.select(F.col("k.doc_id").alias("_id"), F.col("k.text_hash").alias("_hash")).distinct(), "kept")
-    same = F.col(key).cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_hash"))
-    first = W.partitionBy(key, F.xxhash64(text)).orderBy(*docs.columns)
-    return docs.join(kept, same, "left_semi").withColumn("_row", F.row_number().over(first)).where("_row = 1").drop("_row")
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash"))
+    # a row is one struct, so its names can't clash with those used here
+    others = [F.col("row")[c].alias(f"c{i}") for i, c in enumerate(docs.columns) if c not in (key, text)]
+    told = F.to_json(F.struct(*others)) if others else F.lit("")
+    packed = docs.select(F.struct("*").alias("row"), F.col(key).cast("long").alias("id"), F.xxhash64(text).alias("hash"))
+    first = W.partitionBy("id", "hash").orderBy(told)
+    return packed.join(kept, same, "left_semi").withColumn("n", F.row_number().over(first)).where("n = 1").select("row.*")

@@ -452,6 +452,27 @@ def test_empty_tables(docs, spark):
     assert [r.count() for r in results] == [0] * len(results)
 
 
+def test_stages_keep_columns_of_any_name(docs, spark):
+    import corpus_pipeline
+
+    names = "_id _hash _row _text _key _spans c_assign row new spans id hash n fp root component_id h w label with.dot back`tick"
+    wide = docs.select(
+        "*", *[F.lit(7).alias(n) for n in names.split()], F.create_map(F.lit("a"), F.lit(1)).alias("mapped")
+    )
+    small = wide.where("length(text) < 60 OR text IS NULL OR doc_id < 4")
+    kept = {}
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        got = step(spark, small, FOLDER)
+        assert got.columns == wide.columns
+        rows = got.collect()
+        assert all(r["with.dot"] == r["_id"] == r["spans"] == 7 and r["mapped"] == {"a": 1} for r in rows)
+        kept[name] = Counter((r["doc_id"], r["text"]) for r in rows)
+    before = Counter(rows_of(small))
+    assert kept["decontamination"] == before
+    assert max(kept["near_dedup"].values()) == 1
+    assert Counter(k for k, _ in kept["secret_scan"].elements()) == Counter(k for k, _ in before.elements())
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
