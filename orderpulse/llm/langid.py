@@ -16,6 +16,7 @@ whatever their names.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -28,8 +29,8 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 WINDOW, UNITS, ROWS = 128, 8, 2048
 #: Training sample: documents of each label, windows of each document; training steps, however many windows there are.
 PER_LABEL, SNIPPETS, STEPS = 400, 3, 190
-#: Parts in which a label's rows are ranked before the label itself is.
-PARTS = 256
+#: Rows that the first cut at a hash leaves of a label on average, as a multiple of ``PER_LABEL``; growth of a cut too low.
+SLACK, WIDER = 4, 16
 #: Bytes of a training window, windows in a training step.
 SPAN, STEP_ROWS = 64, 256
 UNKNOWN = "und"
@@ -226,12 +227,29 @@ def training_sample(docs: DataFrame, key: str = "doc_id", text: str = "text", la
     starts = [F.floor(size * (2 * i + 1) / (2 * SNIPPETS)) - SPAN // 2 for i in range(SNIPPETS)]
     cut = F.array(*[F.substring(F.col(text), F.greatest(s + 1, F.lit(1)).cast("int"), F.lit(SPAN)) for s in starts])
     chosen = usable.select(F.col(label).cast("string").alias("label"), F.xxhash64(key, text).alias("h"), F.array_distinct(cut).alias("w"))
-    # first within parts of each label, so that one task never gathers the best rows of every other task
-    for by in (["label", F.pmod("h", F.lit(PARTS))], ["label"]):
-        low = W.partitionBy(*by).orderBy("h", "w")
-        chosen = chosen.withColumn("n", F.row_number().over(low)).where(F.col("n") <= PER_LABEL).drop("n")
-    rows = chosen.select("label", "w").collect()
-    return [(w.encode(), r["label"]) for r in rows for w in r["w"]]
+    told = docs.where(F.col(label).isNotNull() & (rest != 2)).groupBy(F.col(label).cast("string").alias("label")).count()
+    shares = {r["label"]: SLACK * PER_LABEL / r["count"] for r in told.collect()}
+    out: list[tuple[bytes, str]] = []
+    while shares:
+        rows = _lowest(chosen, shares).collect()
+        got = Counter(r["label"] for r in rows)
+        # a cut that leaves too few rows although others are above it is made again, higher
+        short = {k for k, share in shares.items() if got[k] < PER_LABEL and share < 1}
+        out += [(w.encode(), r["label"]) for r in rows if r["label"] not in short for w in r["w"]]
+        shares = {k: share * WIDER for k, share in shares.items() if k in short}
+    return out
+
+
+def _lowest(chosen: DataFrame, shares: dict[str, float]) -> DataFrame:
+    """The ``PER_LABEL`` rows of each label with the lowest hashes, among those in the given share of all hashes.
+
+    Cut before they are ranked, no label's rows fill a task; of equal rows a task hands on ``PER_LABEL`` at most.
+    """
+    highest = {k: -(1 << 63) + min(int(share * (1 << 64)), (1 << 64) - 1) for k, share in shares.items()}
+    cut = F.create_map(*[F.lit(v) for pair in highest.items() for v in pair])
+    low = W.partitionBy("label").orderBy("h", "w")
+    few = chosen.where(F.col("h") <= cut[F.col("label")])
+    return few.withColumn("n", F.row_number().over(low)).where(F.col("n") <= PER_LABEL).select("label", "w")
 
 
 def predict(docs: DataFrame, net: Network | None, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -473,6 +473,24 @@ def test_stages_keep_columns_of_any_name(docs, spark):
     assert Counter(k for k, _ in kept["secret_scan"].elements()) == Counter(k for k, _ in before.elements())
 
 
+def test_language_sample_is_the_lowest_hashes(spark, monkeypatch):
+    """Also where a third of the rows are one row, and where most rows have no letter, so that the first cut is too low."""
+    monkeypatch.setattr(langid, "PER_LABEL", 20)
+    monkeypatch.setattr(langid, "SLACK", 1)
+    rows = [(i, "..." if i % 9 else f"text {i}", "a" if i % 2 else "b") for i in range(4000)] + [(5, "five", "a")] * 2000
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    got = Counter(lang for _, lang in langid.training_sample(docs))
+    usable = docs.where("text RLIKE '[a-z]' AND crc32(cast(cast(doc_id AS string) AS binary)) % 4 != 2")
+    want = Counter()
+    texts = Counter()
+    for lang in "ab":
+        low = usable.where(F.col("lang") == lang).orderBy(F.xxhash64("doc_id", "text")).limit(20).collect()
+        want[lang] = len(low)
+        texts.update(r["text"] for r in low)
+    assert got == want
+    assert Counter(w.decode() for w, _ in langid.training_sample(docs)) == texts
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
