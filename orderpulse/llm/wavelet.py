@@ -10,6 +10,9 @@ Documents are range-partitioned and sorted by id, encoded where they then lie, a
 A shard is one row of a Parquet table in the shared folder, for executors reach that folder through Spark's writers
 alone; its ``image`` is self-contained.
 
+Ids are those of the library as it is loaded, without ``add_special_tokens``: the text of an added token (``<|endoftext|>``)
+becomes that token's id.
+
 Edge cases: a missing text is empty and has only its end id; a missing document id sorts first; documents with one id
 are ordered by a hash of their texts; repeated rows are encoded one by one; an empty table gives no shard and no rows;
 other columns are ignored.
@@ -190,7 +193,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        # the library cuts these out of a text before words are told apart
+        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         names = {i: t for t, i in self.library.get_vocab().items()}
         if max(names) >= 1 << BITS:
             raise ValueError(f"ids need more than {BITS} bits")
@@ -198,6 +202,9 @@ class Encoder:
         self.spaced = np.array([names.get(i, "").startswith("Ġ") for i in range(max(names) + 1)])
         self.known: dict[str, bytes] = {}
 
+    def _holds_added(self, text: str) -> bool:
+        return any(a in text for a in self.added)
+
     def _each(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u2").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -208,7 +215,7 @@ class Encoder:
         for group, ids in zip(groups, self._each(["".join(g) for g in groups]), strict=True):
             flat = np.frombuffer(ids, "<u2")
             starts = np.flatnonzero(self.spaced[flat])
-            if len(starts) == len(group) and not starts[0]:
+            if len(starts) == len(group) and not starts[0] and not self._holds_added("".join(group)):
                 ends = 2 * np.append(starts[1:], len(flat))
                 self.known.update(zip(group, (ids[a:z] for a, z in zip(2 * starts, ends, strict=True)), strict=True))
             else:
@@ -217,7 +224,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 16-bit bytes."""
-        cut = [_WORDS.findall(t) if _PLAIN.fullmatch(t) else None for t in texts]
+        cut = [_WORDS.findall(t) if _PLAIN.fullmatch(t) and not self._holds_added(t) else None for t in texts]
         if len(self.known) > REMEMBERED:
             self.known.clear()
         self._learn([w for w in set().union(*[c for c in cut if c is not None]) if w not in self.known])

@@ -278,6 +278,20 @@ def test_token_shards(docs, monkeypatch):
     assert wavelet.find_token(shards, 2).count() == sum(i.count(2) for v in ids.values() for i in v)
 
 
+def test_added_tokens_keep_their_ids(spark):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|> é", "中 <|endoftext|>", "a <|endoftext| > b", "plain words"]
+    want, at = [], 0
+    for key, text in enumerate(texts):
+        ids = [*Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids, 2]
+        want.append((key, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    same(wavelet.token_digest(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), path).collect(), want)
+    assert wavelet.Encoder(path).encode(texts[:1]) == [np.array([64, 220, 50256, 275], "<u2").tobytes()]
+
+
 # --- shards ----------------------------------------------------------------------------------------------------------
 
 
