@@ -375,6 +375,19 @@ def test_importance(spark, docs):
     assert importance.quality_digest(docs, none).agg(F.max(F.abs("log_weight"))).first()[0] == 0
 
 
+def test_importance_counts_all_targets(spark):
+    many = spark.range(24_000).selectExpr("id AS doc_id", "concat('word', id % 50, ' text') AS text")
+    odd = spark.createDataFrame([(None, "word1 none"), (5, "word5 again"), (-1, "raw only " * 40), (-2, None)], "doc_id long, text string")
+    table = many.unionByName(odd)
+    labels = spark.range(24_000).selectExpr("id AS doc_id", "1 AS quality").unionByName(spark.createDataFrame([(5, 1), (None, 1), (-1, 0)], "doc_id long, quality int"))
+    raw, target = np.ones(importance.BUCKETS), np.ones(importance.BUCKETS)
+    for key, text in rows_of(table):
+        own = np.bincount(importance.buckets((text or "").encode()), minlength=importance.BUCKETS)
+        raw += own
+        target += own if key is not None and key >= 0 else 0
+    assert np.allclose(importance.log_ratios(table, labels), np.log(target / target.sum()) - np.log(raw / raw.sum()))
+
+
 # --- byte-level BPE --------------------------------------------------------------------------------------------------
 
 
