@@ -245,8 +245,10 @@ def phrase_hits(index: DataFrame, items: Sequence[Row], size: int = WINDOW) -> D
 
 
 def item_blocks(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> Iterator[list[Row]]:
-    """The benchmark's rows in blocks of about ``BLOCK_BYTES`` of text; every row is in one block."""
+    """The benchmark's distinct rows in blocks of about ``BLOCK_BYTES`` of text; every one is in one block."""
     rows = benchmark.select(F.col(item).cast("string").alias("item"), F.col(text).cast("binary").alias("text")).where("text IS NOT NULL")
+    # copies of a row would all fall into one block
+    rows = stage(rows.distinct(), "items")
     size = rows.agg(F.sum(F.length("text") + 8)).first()[0] or 0
     blocks = -(-size // BLOCK_BYTES)
     for b in range(blocks):
@@ -258,14 +260,15 @@ def contamination(
 ) -> DataFrame:
     """One row per document: ``doc_id, text_hash, n_words, n_hit, items`` (sorted), over all blocks of the benchmark."""
     index = build_index(docs, key, text)
-    hits = [phrase_hits(index, block, size) for block in item_blocks(benchmark)]
+    # written before the next block is collected, so the driver holds one block and its windows
+    hits = [stage(phrase_hits(index, block, size), "hits") for block in item_blocks(benchmark)]
     places = index.select("shard", F.posexplode(F.arrays_zip("doc_id", "text_hash", "n_words")).alias("place", "d")).select(
         "shard", F.col("place").cast("long").alias("place"), "d.*"
     )
     if not hits:
         none = F.array().cast("array<string>")
         return places.select("doc_id", "text_hash", "n_words", F.lit(0).cast("long").alias("n_hit"), none.alias("items"))
-    every = stage(hits[0] if len(hits) == 1 else _union(hits), "hits")
+    every = _union(hits)
     # ranges found in different blocks may overlap: count what each adds beyond those before it
     ranges = F.array_sort(F.flatten(F.collect_list(F.arrays_zip("starts", "ends"))))
     start = F.struct(F.lit(0).cast("long").alias("reach"), F.lit(0).cast("long").alias("n"))

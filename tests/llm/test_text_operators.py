@@ -446,6 +446,20 @@ def test_contamination(spark, docs, texts, block, monkeypatch):
     assert not any(r["n_hit"] for r in decontam.contamination_digest(docs, bench.limit(0)).collect())
 
 
+def test_benchmark_blocks_hold_a_row_once_and_follow_one_another(spark, docs, texts, monkeypatch):
+    monkeypatch.setattr(decontam, "BLOCK_BYTES", 300)
+    words = texts[6].split()
+    items = [(1, " ".join(words[5:40]))] * 200 + [(i, " ".join(words[i : i + 15])) for i in range(2, 40)] + [(None, "a b")] * 9
+    bench = spark.createDataFrame(items, "item_id long, text string").repartition(3)
+    found = Counter((r["item"], bytes(r["text"]).decode()) for block in decontam.item_blocks(bench) for r in block)
+    assert found == Counter({(None if i is None else str(i), t): 1 for i, t in items})
+    happened, blocks, write = [], decontam.item_blocks, decontam.stage
+    monkeypatch.setattr(decontam, "item_blocks", lambda b: (happened.append("block") or x for x in list(blocks(b))[:3]))
+    monkeypatch.setattr(decontam, "stage", lambda df, name: happened.append(name) or write(df, name))
+    decontam.contamination(docs, bench)
+    assert [h for h in happened if h in ("block", "hits")] == ["block", "hits"] * 3
+
+
 def test_proximity(spark):
     docs = spark.createDataFrame([(1, "red x x green x blue"), (2, "red x x x x x green blue"), (3, "blue"), (4, "green red blue")], "doc_id long, text string")
     index = decontam.build_index(docs)
