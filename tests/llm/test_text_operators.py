@@ -240,6 +240,19 @@ def test_archive(spark, texts):
         warc.read_records(broken).collect()
 
 
+@pytest.mark.parametrize("kind", ["response", "revisit"])
+def test_archive_lengths_are_checked(spark, kind, monkeypatch):
+    pages = spark.createDataFrame([(1, "u", "same"), (2, "v", "same"), (3, "w", None)], "page_id long, url string, html string")
+    assert warc.archive_digest(pages).count() == 3
+    sound = warc.write_archive(pages)
+    text = F.col("header").cast("string")
+    other = F.regexp_replace(text, r"Content-Length: \d+", "Content-Length: 77")
+    headers = sound.headers.withColumn("header", F.when(text.contains(f"WARC-Type: {kind}"), other).otherwise(text).cast("binary"))
+    monkeypatch.setattr(warc, "write_archive", lambda _: warc.Archive(headers, sound.payloads))
+    with pytest.raises(Exception, match="length is not its block's"):
+        warc.archive_digest(pages).collect()
+
+
 # --- token files -----------------------------------------------------------------------------------------------------
 
 
