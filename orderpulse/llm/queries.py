@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from orderpulse.llm import bpe, decontam, importance, langid, quality_rules, secrets, sharding, simhash, warc, wavelet
+from orderpulse.llm import (
+    bpe, decontam, divergence, importance, langid, pieces, quality_rules, secrets, sharding, simhash, warc, wavelet, whitening,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -56,6 +58,19 @@ def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
     return decontam.contamination_digest(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
+def op11_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    encoded = pieces.encode_documents(_table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return encoded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened(_table(spark, folder, "embeddings"))
+
+
+def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.source_divergences(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scans": op1_secret_scans,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -67,10 +82,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_byte_level_bpe": op9_byte_level_bpe,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_sentencepiece": op11_sentencepiece,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 SQL: dict[str, str] = {
     "op1_secret_scans": secrets.secret_sql(),
     "op4_warc": warc.archive_sql(),
     "op10_benchmark_decontamination": decontam.DECONTAMINATION_SQL,
+    "op13_source_divergence": divergence.DIVERGENCE_SQL,
 }
