@@ -8,18 +8,17 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier,
-)
-from pyspark.ml.feature import VectorAssembler, VectorSlicer
+import numpy as np
+import pandas as pd
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from orderpulse.operators import linear as li
 from orderpulse.operators.preparation import SEED, class_counts, stratified_folds, weight_column
 from orderpulse.sources.sinks import write_table
 from orderpulse.sources.staging import stage
@@ -28,6 +27,8 @@ from orderpulse.sources.models import load_model, save_model
 LOGISTIC, FOREST, BOOSTING, SVM = "logistic", "forest", "boosting", "svm"
 KINDS = (LOGISTIC, FOREST, BOOSTING, SVM)
 CALIBRATION_FOLDS = 5
+#: Boosting stops early above so many rows, judged on every so-many-th row by the key's hash.
+EARLY_STOPPING_ROWS, HELD_OUT = 10_000, 10
 
 
 @dataclass(frozen=True)
@@ -74,7 +75,7 @@ class Fitted:
         write_table(spark.createDataFrame([(note,)], "note string"), f"{path}/note", "json")
 
     @staticmethod
-    def load(spark: SparkSession, paths: Sequence[str]) -> "Fitted":
+    def load(spark: SparkSession, paths: Sequence[str]) -> "Fitted | CalibratedLinear":
         """Load the first of several folders that holds a fitted model."""
         from pyspark.errors import AnalysisException
 
@@ -85,6 +86,8 @@ class Fitted:
                 if "PATH_NOT_FOUND" not in str(err):
                     raise
                 continue
+            if "linear" in note:
+                return CalibratedLinear.from_note(note)
             parts = [load_model([f"{path}/part-{i}"]) for i in range(len(note["columns"]))]
             return Fitted(note["features"], parts, note["columns"])
         raise FileNotFoundError(f"no fitted model under any of {list(paths)}")
@@ -94,6 +97,10 @@ class Fitted:
         model = self.pipelines[0].stages[-1]
         return dict(zip(self.features, map(float, model.coefficients))), float(model.intercept)
 
+    def rounds(self) -> int:
+        """Trees of a forest or rounds of boosting."""
+        return int(self.pipelines[0].stages[-1].getNumTrees)
+
     def importances(self) -> dict[str, float]:
         """Forest importances, or absolute coefficients of a linear model."""
         model = self.pipelines[0].stages[-1]
@@ -101,11 +108,60 @@ class Fitted:
         return {f: float(values[i]) for i, f in enumerate(self.features)}
 
 
+@dataclass
+class CalibratedLinear:
+    """Linear models whose calibrated probabilities are averaged."""
+
+    features: list[str]
+    parts: list[tuple[li.Linear, li.Calibrator]]
+
+    def score(self, df: DataFrame, out: str = "proba") -> DataFrame:
+        """Add the probability of class 1."""
+        if all(c.kind == li.SIGMOID for _, c in self.parts):
+            total = F.lit(0.0)
+            for model, curve in self.parts:
+                total = total + 1 / (1 + F.exp(-(self._margin(model) * curve.a + curve.b)))
+            return df.withColumn(out, total / len(self.parts))
+        scorer = li.Scorer(self.parts)
+
+        def probability(x: pd.Series) -> pd.Series:
+            return pd.Series(scorer(np.stack(x.to_numpy())) if len(x) else [], dtype=float)
+
+        rows = F.array(*[F.col(f).cast("double") for f in self.features])
+        return df.withColumn(out, F.pandas_udf(probability, "double")(rows))
+
+    def _margin(self, model: li.Linear) -> Column:
+        total = F.lit(model.intercept)
+        for f, w in zip(self.features, model.weights.tolist()):
+            total = total + F.col(f) * w
+        return total
+
+    def save(self, path: str) -> None:
+        told = [
+            {"weights": m.weights.tolist(), "intercept": m.intercept, "kind": c.kind, "a": c.a, "b": c.b, "knots": c.knots, "heights": c.heights}
+            for m, c in self.parts
+        ]
+        spark = SparkSession.getActiveSession()
+        note = json.dumps({"features": self.features, "linear": told})
+        write_table(spark.createDataFrame([(note,)], "note string"), f"{path}/note", "json")
+
+    @staticmethod
+    def from_note(note: Mapping) -> "CalibratedLinear":
+        parts = [
+            (
+                li.Linear(np.array(p["weights"]), p["intercept"]),
+                li.Calibrator(p["kind"], p["a"], p["b"], p["knots"], p["heights"]),
+            )
+            for p in note["linear"]
+        ]
+        return CalibratedLinear(note["features"], parts)
+
+
 def _assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol="_x")
 
 
-def _estimator(spec: Spec, label: str, weight: str | None, total_weight: float):
+def _estimator(spec: Spec, label: str, weight: str | None, total_weight: float, stopping: str | None = None):
     p = dict(spec.params)
     common = {"featuresCol": "_x", "labelCol": label}
     if weight:
@@ -123,30 +179,48 @@ def _estimator(spec: Spec, label: str, weight: str | None, total_weight: float):
             seed=int(p.get("seed", SEED)), **common,
         )
     if spec.kind == BOOSTING:
+        if stopping:
+            common |= {"validationIndicatorCol": stopping, "validationTol": float(p.get("validation_tol", 1e-4))}
         return GBTClassifier(
             maxIter=int(p.get("max_iter", 50)), maxDepth=int(p.get("max_depth", 4)),
             stepSize=float(p.get("learning_rate", 0.1)), seed=int(p.get("seed", SEED)), **common,
         )
-    c = float(p.get("C", 1.0))
-    return LinearSVC(
-        regParam=1.0 / (c * total_weight), standardization=False, maxIter=int(p.get("max_iter", 100)),
-        tol=float(p.get("tol", 1e-4)), rawPredictionCol="_raw", predictionCol="_svm", **common,
-    )
+    raise ValueError(f"{spec.kind} is not fitted by MLlib")
+
+
+def linear_problem(spec: Spec) -> li.Problem:
+    """A linear learner's settings as a problem that is fitted side by side with others."""
+    loss = li.LOGISTIC if spec.kind == LOGISTIC else str(spec.params.get("loss", li.SQUARED_HINGE))
+    return li.Problem(loss, float(spec.params.get("C", 1.0)), spec.params.get("class_weight") == "balanced")
+
 
+def calibration_method(spec: Spec) -> str:
+    return str(spec.params.get("calibration_method", li.SIGMOID))
 
-def fit(spec: Spec, train: DataFrame, features: Sequence[str], label: str = "satisfecho", key: str = "order_id") -> Fitted:
-    """Fit one learner; ``class_weight='balanced'`` weighs classes inversely to size."""
+
+def fit(
+    spec: Spec, train: DataFrame, features: Sequence[str], label: str = "satisfecho", key: str = "order_id"
+) -> Fitted | CalibratedLinear:
+    """Fit one learner; ``class_weight='balanced'`` weighs classes inversely to size.
+
+    Boosting with ``early_stopping`` (by default on more than EARLY_STOPPING_ROWS rows) is judged after every round on a
+    tenth of the rows, which it does not learn from, and stops when they get no better.
+    """
     data = train.select(key, label, *features)
+    if spec.kind == SVM:
+        return _fit_calibrated(spec, data, list(features), label, key)
     balanced = spec.params.get("class_weight") == "balanced"
     # one pass serves the weights and the learner's scale
-    counts = class_counts(data, label) if balanced or spec.kind == LOGISTIC else (1, 0)
+    counts = class_counts(data, label) if balanced or spec.kind in (LOGISTIC, BOOSTING) else (1, 0)
     weight = None
     if balanced:
         data, weight = weight_column(data, label, "_w", counts), "_w"
-    if spec.kind == SVM:
-        return _fit_calibrated(spec, data, list(features), label, key, weight)
+    stopping = None
+    if spec.kind == BOOSTING and spec.params.get("early_stopping", counts[0] > EARLY_STOPPING_ROWS):
+        seed = F.lit(int(spec.params.get("seed", SEED)))
+        data, stopping = data.withColumn("_held", F.pmod(F.xxhash64(key, seed), F.lit(HELD_OUT)) == 0), "_held"
     # balanced weights sum to the row count as well
-    pipeline = Pipeline(stages=[_assembler(features), _estimator(spec, label, weight, float(counts[0]))]).fit(data)
+    pipeline = Pipeline(stages=[_assembler(features), _estimator(spec, label, weight, float(counts[0]), stopping)]).fit(data)
     return Fitted(list(features), [pipeline], ["probability"])
 
 
@@ -168,36 +242,17 @@ def logistic_gradient(
     return {f: (row[i] + w / c) / counts[0] for i, (f, w) in enumerate(weights.items())}
 
 
-def _fit_calibrated(spec, data, features, label, key, weight) -> Fitted:
+def folded_rows(train: DataFrame, features: Sequence[str], label: str, key: str, folds: int, seed: int = SEED) -> DataFrame:
+    """Rows with stratified folds as linear fits read them, written once: every step of a fit scans them."""
+    dealt = stratified_folds(train.select(key, label, *features), label, key, folds, seed)
+    return stage(li.feature_rows(dealt, features, label, "fold", key), "folds")
+
+
+def _fit_calibrated(spec, data, features, label, key) -> CalibratedLinear:
     """A linear SVM per fold, calibrated on the rows it did not see, averaged.
 
     Class weights shape the SVM only; the calibrator sees plain rows.
     """
-    method = spec.params.get("calibration_method", "sigmoid")
-    # every SVM iterates over the folds many times: write them once
-    folds = stage(stratified_folds(data, label, key, CALIBRATION_FOLDS), "calibration")
-
-    sizes = {row["fold"]: row["count"] for row in folds.groupBy("fold").count().collect()}
-
-    def part(k: int) -> PipelineModel:
-        seen, held = folds.where(F.col("fold") != k), folds.where(F.col("fold") == k)
-        margin = VectorSlicer(inputCol="_raw", outputCol="_m", indices=[1])
-        svm = Pipeline(
-            stages=[_assembler(features), _estimator(spec, label, weight, float(sum(sizes.values()) - sizes.get(k, 0))), margin]
-        ).fit(seen)
-        tail = _calibrator(method, label).fit(svm.transform(held).select(label, "_m"))
-        return PipelineModel(stages=[*svm.stages, tail])
-
-    with ThreadPoolExecutor(CALIBRATION_FOLDS) as pool:
-        parts = list(pool.map(part, range(CALIBRATION_FOLDS)))
-    column = "_iso" if method == "isotonic" else "probability"
-    return Fitted(features, parts, [column] * len(parts))
-
-
-def _calibrator(method: str, label: str):
-    if method == "isotonic":
-        return IsotonicRegression(featuresCol="_m", labelCol=label, predictionCol="_iso")
-    return LogisticRegression(
-        featuresCol="_m", labelCol=label, rawPredictionCol="_lraw", predictionCol="_lpred", regParam=0.0,
-        standardization=False, maxIter=100,
-    )
+    rows = folded_rows(data, features, label, key, CALIBRATION_FOLDS)
+    scorer = li.calibrated(rows, [linear_problem(spec)], [calibration_method(spec)], CALIBRATION_FOLDS, len(features))[0]
+    return CalibratedLinear(features, scorer.parts)

@@ -234,11 +234,11 @@ def apply_imputation(df: DataFrame, fills: Mapping[str, Mapping[str, object]]) -
     return df.withColumns(changes) if changes else df
 
 
-def imputation_log(df: DataFrame, fills: Mapping[str, Mapping[str, object]]) -> DataFrame:
+def imputation_log(df: DataFrame, fills: Mapping[str, Mapping[str, object]], digits: int = 4) -> DataFrame:
     rows = [
         Row(
             column=c, tipo=f["tipo"],
-            valor=f"{f['valor']:.4f}" if f["tipo"] == "mediana" else str(f["valor"]),
+            valor=f"{f['valor']:.{digits}f}" if f["tipo"] == "mediana" else str(f["valor"]),
             nulos_imputados=int(f["nulos_imputados"]),
         )
         for c, f in fills.items()

@@ -3,142 +3,147 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections import Counter
+from collections.abc import Iterator, Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F
 
+from orderpulse.operators.arrays import SLOTS, add_slots, slot_rows
 from orderpulse.operators.ordering import plain_zero, running_totals
 
-ACCURACY = 20_000
+#: Cells of one bracket's histogram, and values that brackets may hold together when they are read.
+CELLS, READ = 4_096, 100_000
+
+
+def ordered(values: np.ndarray) -> np.ndarray:
+    """Doubles as whole numbers in the same order; applied to those it gives the doubles' bits back."""
+    bits = values.view(np.int64)
+    return bits ^ ((bits >> 63) & np.int64(0x7FFFFFFFFFFFFFFF))
+
+
+@dataclass
+class Bracket:
+    """Values of one column between two bounds, as whole numbers; ``below`` and ``inside`` are numbers of values."""
+
+    column: int
+    low: int
+    high: int
+    below: int
+    inside: int
+    ranks: list[int]
+
+    def cell(self) -> int:
+        """Width of a cell."""
+        return (self.high - self.low) // CELLS + 1
+
+    def narrowed(self, counts: np.ndarray) -> list["Bracket"]:
+        """The cells that hold a wanted rank."""
+        upto = np.cumsum(counts.astype(np.int64)) + self.below
+        out: dict[int, Bracket] = {}
+        for rank in self.ranks:
+            k = int(np.searchsorted(upto, rank, side="right"))
+            if k not in out:
+                low = self.low + k * self.cell()
+                high = min(self.high, low + self.cell() - 1)
+                out[k] = Bracket(self.column, low, high, int(upto[k] - counts[k]), int(counts[k]), [])
+            out[k].ranks.append(rank)
+        return list(out.values())
 
 
 def exact_quantiles(
-    df: DataFrame,
-    columns: Mapping[str, Column] | Sequence[str],
-    probs: Sequence[float],
-    accuracy: int = ACCURACY,
+    df: DataFrame, columns: Mapping[str, Column] | Sequence[str], probs: Sequence[float]
 ) -> dict[str, list[float | None]]:
-    """Quantiles of several columns, fitted in three passes over the data.
+    """Quantiles of several columns by narrowing brackets around all wanted ranks at once.
 
-    The first pass counts values, the second brackets the wanted ranks with a
-    sketch, the third reads the values inside the brackets.  Missing and NaN values are ignored; an empty column gives None.
+    A first scan counts values and finds the extremes.  Every further scan counts one histogram per bracket and leaves of
+    it the cells that hold a wanted rank, a few thousandth of its width, until the brackets hold few values, which are
+    read, or a single one each.  So no task's work grows with the rows of a bracket, and a value that a third of all rows
+    hold is one cell.  Missing and NaN values are ignored; an empty column gives None.
     """
     exprs = columns if isinstance(columns, Mapping) else {c: F.col(c) for c in columns}
     names = list(exprs)
     if not names:
         return {}
     values = df.select(
-        *[
-            F.when(~F.isnan(plain_zero(c)), plain_zero(c)).alias(f"v{i}")
-            for i, c in enumerate(exprs.values())
-        ]
+        *[F.when(~F.isnan(plain_zero(c)), plain_zero(c)).alias(f"v{i}") for i, c in enumerate(exprs.values())]
     )
-    counts = values.agg(*[F.count(f"v{i}").alias(f"v{i}") for i in range(len(names))]).first()
-    if not max(counts):
-        return {name: [None] * len(probs) for name in names}
-    return _bracketed(values, names, list(counts), list(probs), accuracy)
-
-
-def _intervals(sketch: Sequence[float], slack: float, probs: Sequence[float]) -> list[tuple[float, float]]:
-    """Disjoint closed value ranges that hold every wanted rank of one column."""
-    spans = []
-    for j, p in enumerate(probs):
-        low = -math.inf if p - slack <= 0 else sketch[2 * j]
-        high = math.inf if p + slack >= 1 else sketch[2 * j + 1]
-        spans.append((low, high))
-    merged: list[tuple[float, float]] = []
-    for low, high in sorted(spans):
-        if merged and low <= math.nextafter(merged[-1][1], math.inf):
-            merged[-1] = (merged[-1][0], max(merged[-1][1], high))
-        else:
-            merged.append((low, high))
-    return merged
-
-
-def _bracketed(values, names, counts, probs, accuracy):
-    """Sketch brackets around the wanted ranks, then read inside them.
-
-    One scan counts the values between brackets and keeps the distinct values
-    inside, which are a few per mille of the rows however large the table is.
-    """
-    filled = [i for i in range(len(names)) if counts[i]]
-    # a sketch answer is at most n/accuracy ranks off: step out by twice that,
-    # and by two ranks for the neighbour that interpolation needs
-    slack = {i: 2.0 / accuracy + 2.0 / counts[i] for i in filled}
-    asked = {i: [q for p in probs for q in (max(0.0, p - slack[i]), min(1.0, p + slack[i]))] for i in filled}
-    sketch = values.agg(
-        *[F.percentile_approx(f"v{i}", F.array(*map(F.lit, asked[i])), accuracy).alias(f"v{i}") for i in filled]
-    ).first()
-    splits, inside = {}, {}
-    for i in filled:
-        spans = _intervals(sketch[f"v{i}"], slack[i], probs)
-        # ranges are closed, segments are open at the top: end at the next double
-        ends = sorted({-math.inf, math.inf} | {x for lo, hi in spans for x in (lo, math.nextafter(hi, math.inf))})
-        splits[i] = ends if len(ends) > 2 else [-math.inf, 0.0, math.inf]
-        inside[i] = [k for k, lo in enumerate(splits[i][:-1]) if any(a <= lo <= z for a, z in spans)]
-    cut = Bucketizer(
-        splitsArray=[splits[i] for i in filled],
-        inputCols=[f"v{i}" for i in filled],
-        outputCols=[f"g{i}" for i in filled],
-        handleInvalid="keep",
-    ).transform(values)
-    cells = F.explode(
-        F.array(
-            *[
-                F.when(
-                    F.col(f"v{i}").isNotNull(),
-                    F.struct(
-                        F.lit(i).alias("i"),
-                        F.col(f"g{i}").cast("int").alias("g"),
-                        F.when(F.col(f"g{i}").isin(inside[i]), F.col(f"v{i}")).alias("v"),
-                    ),
-                )
-                for i in filled
-            ]
-        )
-    )
-    counted = (
-        cut.select(cells.alias("s")).where("s IS NOT NULL").groupBy("s.i", "s.g", "s.v").agg(F.count("*").alias("c"))
-    )
-    segments = counted.groupBy("i", "g").agg(F.sum("c").alias("c"))
-    before = W.partitionBy("i").orderBy("g").rowsBetween(W.unboundedPreceding, -1)
-    offsets = segments.select("i", "g", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("skip"))
-    upto = W.partitionBy("i", "g").orderBy("v").rowsBetween(W.unboundedPreceding, W.currentRow)
-    ranked = (
-        counted.where("v IS NOT NULL")
-        .withColumn("hi", F.sum("c").over(upto))
-        .join(offsets, ["i", "g"])
-        .select("i", "v", (F.col("skip") + F.col("hi") - F.col("c")).alias("lo"), (F.col("skip") + F.col("hi")).alias("hi"))
-    )
-    wanted = {
-        i: sorted({k for p in probs for k in (math.floor(p * (counts[i] - 1)), math.ceil(p * (counts[i] - 1)))})
-        for i in filled
-    }
-    ranks = F.create_map(
-        *[x for i in filled for x in (F.lit(i), F.array(*[F.lit(k).cast("long") for k in wanted[i]]))]
-    )
-    hit = F.exists(F.element_at(ranks, F.col("i")), lambda k: (F.col("lo") <= k) & (k < F.col("hi")))
-    found = {i: [] for i in filled}
-    # at most two rows per column and probability
-    for row in ranked.where(hit).collect():
-        found[row["i"]].append((row["lo"], row["hi"], row["v"]))
-    return {
-        name: [_interpolate(found.get(i), counts[i], p, name) for p in probs] for i, name in enumerate(names)
-    }
-
-
-def _interpolate(cells, n: int, p: float, name: str) -> float | None:
+    sizes = [f(f"v{i}").alias(f"{n}{i}") for i in range(len(names)) for n, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]
+    first = values.agg(*sizes).first()
+    counts = [first[f"n{i}"] for i in range(len(names))]
+    brackets, found = [], {}
+    for i, n in enumerate(counts):
+        if n:
+            ranks = sorted({k for p in probs for k in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))})
+            low, high = (int(ordered(np.array([first[f"{side}{i}"]], float))[0]) for side in ("lo", "hi"))
+            brackets.append(Bracket(i, low, high, 0, n, ranks))
+    while brackets:
+        for b in brackets:
+            if b.low == b.high:
+                found |= {(b.column, k): b.low for k in b.ranks}
+        brackets = [b for b in brackets if b.low < b.high]
+        if sum(b.inside for b in brackets) <= READ:
+            break
+        cells = add_slots(values.mapInArrow(_histograms(brackets), SLOTS))
+        brackets = [part for i, b in enumerate(brackets) for part in b.narrowed(cells[i])]
+    if brackets:
+        _read(values, brackets, found)
+    told = {key: float(ordered(np.array([v], np.int64)).view(float)[0]) for key, v in found.items()}
+    return {name: [_interpolate(told, i, counts[i], p) for p in probs] for i, name in enumerate(names)}
+
+
+def _inside(batch: pa.RecordBatch, brackets: Sequence[Bracket]) -> Iterator[tuple[int, np.ndarray]]:
+    """Each bracket's number and its values in a batch, as whole numbers above its lower bound."""
+    columns: dict[int, np.ndarray] = {}
+    for i, b in enumerate(brackets):
+        if b.column not in columns:
+            v = batch.column(b.column).to_numpy(zero_copy_only=False)
+            columns[b.column] = ordered(v[~np.isnan(v)])
+        v = columns[b.column]
+        # the distance may need 64 bits without a sign
+        yield i, v[(v >= b.low) & (v <= b.high)].view(np.uint64) - np.uint64(b.low % (1 << 64))
+
+
+def _histograms(brackets: Sequence[Bracket]):
+    cells, widths = CELLS, [np.uint64(b.cell()) for b in brackets]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = np.zeros((len(brackets), cells))
+        for batch in batches:
+            for i, above in _inside(batch, brackets):
+                own[i] += np.bincount((above // widths[i]).astype(np.int64), minlength=cells)
+        yield slot_rows(own)
+
+    return run
+
+
+def _read(values: DataFrame, brackets: Sequence[Bracket], found: dict[tuple[int, int], int]) -> None:
+    """Look the wanted ranks up among the brackets' values, at most READ of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, above in _inside(batch, brackets):
+                v, n = np.unique(above, return_counts=True)
+                columns = [np.full(len(v), i, np.int32), v.view(np.int64), n]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["b", "v", "n"])
+
+    cells: dict[int, Counter] = {}
+    for r in values.mapInArrow(run, "b int, v long, n long").groupBy("b", "v").agg(F.sum("n").alias("n")).collect():
+        cells.setdefault(r["b"], Counter())[r["v"] % (1 << 64)] += r["n"]
+    for i, b in enumerate(brackets):
+        above = sorted(cells[i])
+        upto = np.cumsum([cells[i][v] for v in above]) + b.below
+        found |= {(b.column, k): b.low + above[int(np.searchsorted(upto, k, side="right"))] for k in b.ranks}
+
+
+def _interpolate(found: Mapping[tuple[int, int], float], column: int, n: int, p: float) -> float | None:
     if not n:
         return None
     rank = p * (n - 1)
-    ends = []
-    for k in (math.floor(rank), math.ceil(rank)):
-        value = next((v for lo, hi, v in cells if lo <= k < hi), None)
-        if value is None:
-            raise ValueError(f"quantile {p} of {name} fell outside its bracket")
-        ends.append(value)
-    return ends[0] + (ends[1] - ends[0]) * (rank - math.floor(rank))
+    low, high = found[column, math.floor(rank)], found[column, math.ceil(rank)]
+    return low + (high - low) * (rank - math.floor(rank))
 
 
 def quantiles_by_group(

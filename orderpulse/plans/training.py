@@ -6,11 +6,11 @@ import math
 import random
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, functions as F
 
-from orderpulse.operators import learners as ln, metrics as mt
+from orderpulse.operators import learners as ln, linear as li, metrics as mt
 from orderpulse.operators.preparation import SEED, stratified_folds
 from orderpulse.plans.dataset import Dataset
 from orderpulse.sources.staging import stage
@@ -30,8 +30,8 @@ def _log_uniform(rng: random.Random, low: float, high: float) -> float:
     return math.exp(rng.uniform(math.log(low), math.log(high)))
 
 
-# Search ranges per learner.  Settings MLlib lacks (solver, leaf count, l2 of
-# boosting, SVM loss) are left out.
+# Search ranges per learner.  The solver of linear models and settings of boosting
+# that MLlib lacks (leaf count, l2) are left out.
 SPACES: dict[str, Callable[[random.Random], ln.Spec]] = {
     "Logistic Regression": lambda rng: ln.Spec(
         ln.LOGISTIC, {"C": _log_uniform(rng, 1e-3, 10), "class_weight": rng.choice([None, "balanced"])}
@@ -41,12 +41,13 @@ SPACES: dict[str, Callable[[random.Random], ln.Spec]] = {
         {
             "max_iter": rng.randint(100, 500), "max_depth": rng.randint(2, 8),
             "learning_rate": _log_uniform(rng, 1e-3, 0.3), "class_weight": rng.choice(["balanced", None]),
+            "early_stopping": True,
         },
     ),
     "LinearSVC": lambda rng: ln.Spec(
         ln.SVM,
         {
-            "C": _log_uniform(rng, 1e-3, 100), "tol": _log_uniform(rng, 1e-5, 1e-1),
+            "C": _log_uniform(rng, 1e-3, 100), "loss": rng.choice([li.HINGE, li.SQUARED_HINGE]),
             "class_weight": rng.choice([None, "balanced"]),
             "calibration_method": rng.choice(["sigmoid", "isotonic"]),
         },
@@ -104,27 +105,76 @@ class Trial:
     value: float
 
 
-def search(
-    data: Dataset, space: Callable[[random.Random], ln.Spec], trials: int = TRIALS, pos_label: int = 0,
-    seed: int = SEED, splits: tuple[str, str] = ("train", "val"), parallelism: int = 4,
-) -> list[Trial]:
-    """Seeded random search for the highest F1 of one class on the validation rows.
+def _is_linear(spec: ln.Spec) -> bool:
+    return spec.kind == ln.SVM or (spec.kind == ln.LOGISTIC and not spec.params.get("l1_ratio"))
+
+
+def _f1(cells: Sequence[float], pos_label: int) -> float:
+    """F1 of one class from ``tn, fp, fn, tp``."""
+    tn, fp, fn, tp = (float(c) for c in cells)
+    hit = tp if pos_label else tn
+    return 2 * hit / (2 * hit + fp + fn) if hit else 0.0
 
-    Each trial is a distributed fit; a few run side by side.
+
+def linear_scorers(rows: DataFrame, specs: Sequence[ln.Spec], folds: int, d: int) -> list[li.Scorer]:
+    """Scorers of linear learners, all logistic models fitted together and all SVMs together."""
+    out: dict[int, li.Scorer] = {}
+    logistic = [i for i, s in enumerate(specs) if s.kind == ln.LOGISTIC]
+    others = [i for i, s in enumerate(specs) if s.kind == ln.SVM]
+    if logistic:
+        out |= zip(logistic, li.plain(rows, [ln.linear_problem(specs[i]) for i in logistic], d))
+    if others:
+        problems, methods = [ln.linear_problem(specs[i]) for i in others], [ln.calibration_method(specs[i]) for i in others]
+        out |= zip(others, li.calibrated(rows, problems, methods, folds, d))
+    return [out[i] for i in range(len(specs))]
+
+
+def search_rounds(
+    data: Dataset, spaces: Mapping[str, Callable[[random.Random], ln.Spec]], trials: int | Mapping[str, int] = TRIALS,
+    pos_labels: Sequence[int] = (0, 1), seed: int = SEED, splits: tuple[str, str] = ("train", "val"), parallelism: int = 4,
+) -> dict[int, dict[str, list[Trial]]]:
+    """Seeded random search for the highest F1 of each class on the validation rows.
+
+    What a round per class would fit is the same, so every draw is fitted once and measured for all classes.  Draws of
+    linear learners are fitted side by side, a scan of the rows per step for all of them; others are a distributed fit
+    each, a few at a time.
     """
-    rng = random.Random(seed)
-    drawn = [space(rng) for _ in range(trials)]
+    count = lambda name: trials if isinstance(trials, int) else trials[name]
+    drawn = []
+    for name, space in spaces.items():
+        rng = random.Random(seed)
+        drawn += [(name, k, space(rng)) for k in range(count(name))]
     train, val = data.part(splits[0]), data.part(splits[1])
-
-    def run(job: tuple[int, ln.Spec]) -> Trial:
-        number, spec = job
-        model = ln.fit(spec, train, data.features, data.label, data.key)
+    cells: dict[int, Sequence[float]] = {}
+    together = [i for i, (_, _, spec) in enumerate(drawn) if _is_linear(spec)]
+    if together:
+        rows = ln.folded_rows(train, data.features, data.label, data.key, ln.CALIBRATION_FOLDS)
+        unseen = stage(li.feature_rows(val, data.features, data.label), "unseen")
+        scorers = linear_scorers(rows, [drawn[i][2] for i in together], ln.CALIBRATION_FOLDS, len(data.features))
+        cells |= zip(together, li.confusions(unseen, scorers).tolist())
+
+    def run(i: int) -> Sequence[float]:
+        model = ln.fit(drawn[i][2], train, data.features, data.label, data.key)
         scored = model.score(val.select(F.col(data.label).alias("label"), *data.features))
-        row = mt.class_metrics(mt.confusion(scored)).first()
-        return Trial(number, spec, float(row[f"f1_{pos_label}"]))
+        row = mt.confusion(scored).first()
+        return [row[c] for c in ("tn", "fp", "fn", "tp")]
 
+    alone = [i for i in range(len(drawn)) if i not in cells]
     with ThreadPoolExecutor(parallelism) as pool:
-        return list(pool.map(run, enumerate(drawn)))
+        cells |= zip(alone, pool.map(run, alone))
+    out: dict[int, dict[str, list[Trial]]] = {c: {name: [] for name in spaces} for c in pos_labels}
+    for i, (name, number, spec) in enumerate(drawn):
+        for c in pos_labels:
+            out[c][name].append(Trial(number, spec, _f1(cells[i], c)))
+    return out
+
+
+def search(
+    data: Dataset, space: Callable[[random.Random], ln.Spec], trials: int = TRIALS, pos_label: int = 0,
+    seed: int = SEED, splits: tuple[str, str] = ("train", "val"), parallelism: int = 4,
+) -> list[Trial]:
+    """One learner, one class."""
+    return search_rounds(data, {"": space}, trials, [pos_label], seed, splits, parallelism)[pos_label][""]
 
 
 def best_trial(trials: Sequence[Trial]) -> Trial:
@@ -140,19 +190,55 @@ def trial_history(data: Dataset, runs: Mapping[str, Sequence[Trial]]) -> DataFra
     return running_max(table, ["model"], [F.col("trial")], "value", "best")
 
 
+def search_table(spark, rounds: Mapping[int, Mapping[str, Sequence[Trial]]]) -> DataFrame:
+    """One row per class, learner and draw, with its settings and the best value so far."""
+    from orderpulse.operators.ordering import running_max
+
+    rows = [
+        (
+            c, name, t.number, float(t.spec.params.get("C", 0.0)) or None, t.spec.params.get("class_weight"),
+            t.spec.params.get("loss"), t.spec.params.get("calibration_method"), t.value,
+        )
+        for c, runs in rounds.items() for name, trials in runs.items() for t in trials
+    ]
+    schema = "pos_label int, model string, trial int, c double, class_weight string, loss string, calibration string, f1 double"
+    return running_max(spark.createDataFrame(rows, schema), ["pos_label", "model"], [F.col("trial")], "f1", "best")
+
+
 def out_of_fold(
     data: Dataset, specs: Mapping[str, ln.Spec], split: str = "train", folds: int = FOLDS, seed: int = SEED,
     parallelism: int = 4,
 ) -> DataFrame:
-    """Every training row scored by a model that did not see its fold, per model."""
+    """Every training row scored by a model that did not see its fold, per model.
+
+    Linear learners are fitted side by side over all folds; within a fold's training rows an SVM is calibrated on the
+    other folds in turn.
+    """
     rows = stage(stratified_folds(data.part(split), data.label, data.key, folds, seed), "folds")
     jobs = [(name, spec, k) for name, spec in specs.items() for k in range(folds)]
+    together = [i for i, (_, spec, _) in enumerate(jobs) if _is_linear(spec)]
+    models: dict[int, ln.Fitted | ln.CalibratedLinear] = {}
+    if together:
+        fitted_on = stage(li.feature_rows(rows, data.features, data.label, "fold"), "folded")
+        d = len(data.features)
+        for kind in (ln.LOGISTIC, ln.SVM):
+            mine = [i for i in together if jobs[i][1].kind == kind]
+            problems = [replace(ln.linear_problem(jobs[i][1]), outer=jobs[i][2]) for i in mine]
+            if kind == ln.LOGISTIC:
+                scorers = li.plain(fitted_on, problems, d) if mine else []
+            else:
+                methods = [ln.calibration_method(jobs[i][1]) for i in mine]
+                scorers = li.calibrated(fitted_on, problems, methods, folds, d) if mine else []
+            models |= zip(mine, (ln.CalibratedLinear(list(data.features), s.parts) for s in scorers))
+    alone = [i for i in range(len(jobs)) if i not in models]
     with ThreadPoolExecutor(parallelism) as pool:
-        models = list(
-            pool.map(lambda j: ln.fit(j[1], rows.where(F.col("fold") != j[2]), data.features, data.label, data.key), jobs)
+        fits = pool.map(
+            lambda i: ln.fit(jobs[i][1], rows.where(F.col("fold") != jobs[i][2]), data.features, data.label, data.key), alone
         )
+        models |= zip(alone, fits)
     out = None
-    for (name, _, k), model in zip(jobs, models):
+    for i, (name, _, k) in enumerate(jobs):
+        model = models[i]
         held = rows.where(F.col("fold") == k)
         part = model.score(held.select(data.key, "fold", F.col(data.label).alias("label"), *data.features)).select(
             F.lit(name).alias("model"), data.key, "fold", "label", "proba"
@@ -181,15 +267,15 @@ class Tuned:
 
 
 def tune(
-    data: Dataset, spaces: Mapping[str, Callable[[random.Random], ln.Spec]] = SPACES, trials: int = TRIALS,
-    pos_label: int = 0, seed: int = SEED, splits: tuple[str, ...] = ("train", "val", "backtest"), parallelism: int = 4,
+    data: Dataset, spaces: Mapping[str, Callable[[random.Random], ln.Spec]] = SPACES,
+    trials: int | Mapping[str, int] = TRIALS, pos_label: int = 0, seed: int = SEED, splits: tuple[str, ...] = ("train", "val", "backtest"), parallelism: int = 4,
     folds: int = FOLDS,
 ) -> Tuned:
     """Search, cross-validate and refit each learner, then stack them.
 
     Metrics cover the validation and later splits at the 0.5 cut.
     """
-    runs = {n: search(data, s, trials, pos_label, seed, splits[:2], parallelism) for n, s in spaces.items()}
+    runs = search_rounds(data, spaces, trials, [pos_label], seed, splits[:2], parallelism)[pos_label]
     specs = {n: best_trial(t).spec for n, t in runs.items()}
     oof = out_of_fold(data, specs, splits[0], folds, seed, parallelism)
     train = data.part(splits[0])

@@ -225,23 +225,35 @@ def _tuned_sql(names) -> str:
       (VALUES {models}) AS m(model, folds)""")
 
 
-def _tuned(spark, folder, names, pos_label):
-    """A round of the search: two draws a learner, five folds, refit and stacking."""
-    spaces = {name: training.SPACES[name] for name in names}
-    tuned = training.tune(frames.model_data(spark, folder), spaces, trials=2, pos_label=pos_label)
+#: Learners of the round, with the full number of draws; a draw of boosting is up to 500 rounds of its own and no query.
+DRAWS = {"Logistic Regression": training.TRIALS, "LinearSVC": training.TRIALS}
+
+
+def _tuned(spark, folder, pos_label):
+    """A round of the search for one class: all draws, five folds, refit and stacking."""
+    spaces = {name: training.SPACES[name] for name in DRAWS}
+    tuned = training.tune(frames.model_data(spark, folder), spaces, trials=DRAWS, pos_label=pos_label)
     stacked = tuned.stacked.withColumn("model", F.lit("Stacking"))
     facts = _facts(tuned.metrics.unionByName(stacked, allowMissingColumns=True), ["model", "split"])
     return facts.join(tuned.cv.select("model", "folds"), "model", "left")
 
 
-@Q.query("tuned_models", _tuned_sql(["Logistic Regression", "LinearSVC"]))
+@Q.query("tuned_models", _tuned_sql(DRAWS))
 def tuned_models(spark, folder):
-    return _tuned(spark, folder, ["Logistic Regression", "LinearSVC"], 0)
+    return _tuned(spark, folder, 0)
 
 
-@Q.query("tuned_models_class_1", _tuned_sql(["Logistic Regression"]))
+@Q.query("tuned_models_class_1", _tuned_sql(DRAWS))
 def tuned_models_class_1(spark, folder):
-    return _tuned(spark, folder, ["Logistic Regression"], 1)
+    return _tuned(spark, folder, 1)
+
+
+@Q.query("search_history")
+def search_history(spark, folder):
+    """Every draw of the linear learners for both classes: settings, F1 on the validation rows, best so far."""
+    spaces = {name: training.SPACES[name] for name in ("Logistic Regression", "LinearSVC")}
+    runs = training.search_rounds(frames.model_data(spark, folder), spaces)
+    return training.search_table(spark, runs)
 
 
 @Q.query("batch_report_trend", R.sql(PARTS, """SELECT '2026-01-01 00:00:00' AS "timestamp", 1 AS run, count(*) AS n_registros, true AS valid
@@ -279,3 +291,26 @@ def coefficient_table(spark, folder):
     slopes = ln.logistic_gradient(model, spec, data.part("train"), data.label)
     flat = F.create_map(*[F.lit(x) for f, g in slopes.items() for x in (f, abs(g) < STATIONARY)])
     return monitoring.coefficient_table(model, spark).select("feature", F.element_at(flat, F.col("feature")).alias("stationary"))
+
+
+@Q.query("logistic_coefficients")
+def logistic_coefficients(spark, folder):
+    """Each feature's weight in the logistic model, and the intercept."""
+    data, model = _fitted(spark, folder, ln.Spec(ln.LOGISTIC, {"C": 1.0}))
+    weights, intercept = model.linear_weights()
+    rows = [*weights.items(), ("(intercept)", intercept)]
+    return spark.createDataFrame(rows, "feature string, coefficient double")
+
+
+@Q.query("forest_importances")
+def forest_importances(spark, folder):
+    """Each feature's importance in the judging forest, most important first."""
+    data, model = _fitted(spark, folder, stepwise.JUDGE)
+    ranked = sorted(model.importances().items(), key=lambda x: (-x[1], x[0]))
+    return spark.createDataFrame([(i, f, v) for i, (f, v) in enumerate(ranked, 1)], "rank int, feature string, importance double")
+
+
+@Q.query("selection_table")
+def selection_table(spark, folder):
+    """The selection as it went: metrics of every candidate of every step, what it removed, which one won."""
+    return stepwise.select_features(frames.model_data(spark, folder)).steps

@@ -140,14 +140,18 @@ def impute(spark, folder):
     return _numbers_filled(qa.impute(frames.staged_features(spark, folder)))
 
 
+#: Money has four digits at most and half a sum of two amounts five: with six, the order of addition cannot turn the last.
+LOG_DIGITS = 6
+
+
 @Q.query("impute_log", R.sql(R.MASTER, "SELECT * FROM (" + " UNION ALL ".join(
-    [f"""SELECT '{c}' AS "column", 'mediana' AS tipo, printf('%.4f', quantile_cont({c}, 0.5)::DOUBLE) AS valor,
+    [f"""SELECT '{c}' AS "column", 'mediana' AS tipo, printf('%.{LOG_DIGITS}f', quantile_cont({c}, 0.5)::DOUBLE) AS valor,
      count(*) FILTER (WHERE {c} IS NULL) AS nulos_imputados FROM master""" for c in MASTER_NUMBERS]
     + [f"""SELECT '{c}', 'constante', 'desconocido', count(*) FILTER (WHERE {c} IS NULL) FROM master""" for c in MASTER_TEXTS]
 ) + ") WHERE nulos_imputados > 0"))
 def impute_log(spark, folder):
     df = frames.staged_features(spark, folder)
-    return qa.imputation_log(df, qa.fit_imputation(df))
+    return qa.imputation_log(df, qa.fit_imputation(df), LOG_DIGITS)
 
 
 @Q.query("impute_mode", R.sql(R.MASTER + f""",

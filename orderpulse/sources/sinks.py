@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
 
 HISTORY_SCHEMA = "timestamp string, n_registros long, auc_roc double, accuracy double, f1_clase_0 double"
 
@@ -76,7 +76,11 @@ def add_scores(labels: DataFrame, scores: DataFrame, path: str, key: str = "orde
 def append_history(
     spark: SparkSession, path: str, metrics: DataFrame, timestamp: str | None = None
 ) -> DataFrame:
-    """Append one metric row per run; metrics has n, auc, accuracy and f1_0."""
+    """Add one metric row for a run, named by its time; metrics has n, auc, accuracy and f1_0.
+
+    Each run is a partition of its own and replaces it, so a repeated task, or a run that is started again with its
+    time, leaves one row; other runs' files are not touched.
+    """
     stamp = timestamp or dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S")
     row = metrics.select(
         F.lit(stamp).alias("timestamp"),
@@ -84,15 +88,18 @@ def append_history(
         F.col("auc").cast("double").alias("auc_roc"),
         F.col("accuracy").cast("double").alias("accuracy"),
         F.col("f1_0").cast("double").alias("f1_clase_0"),
+        F.sha2(F.lit(stamp), 256).alias("run_id"),
     )
     # one run adds one row; a single small file per run keeps the folder readable
-    row.coalesce(1).write.mode("append").json(path)
+    writer = row.coalesce(1).write.mode("overwrite").partitionBy("run_id")
+    writer.option("partitionOverwriteMode", "dynamic").json(path)
     return read_history(spark, path)
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
+    columns = T.StructType.fromDDL(HISTORY_SCHEMA).names
     try:
-        return spark.read.schema(HISTORY_SCHEMA).json(path)
+        return spark.read.schema(HISTORY_SCHEMA + ", run_id string").json(path).select(*columns)
     except AnalysisException as err:
         if "PATH_NOT_FOUND" not in str(err):
             raise

@@ -121,6 +121,44 @@ def test_out_of_fold_scores_every_row_once(data):
     assert oof.count() == 500 and oof.select("order_id").distinct().count() == 500
 
 
+def test_a_repeated_run_leaves_one_row(spark, tmp_path):
+    path = f"{tmp_path}/history"
+    metrics = lambda n: spark.createDataFrame([(n, 0.7, 0.8, 0.5)], "n long, auc double, accuracy double, f1_0 double")
+    for n, stamp in ((1, "2026-01-01 00:00:00"), (2, "2026-02-01 00:00:00"), (3, "2026-01-01 00:00:00")):
+        sinks.append_history(spark, path, metrics(n), stamp)
+    rows = {r["timestamp"]: r["n_registros"] for r in sinks.read_history(spark, path).collect()}
+    assert rows == {"2026-01-01 00:00:00": 3, "2026-02-01 00:00:00": 2}
+    assert [r["run"] for r in sinks.history_trend(sinks.read_history(spark, path)).orderBy("run").collect()] == [1, 2]
+
+
+def test_boosting_stops_early(data):
+    spec = {"max_iter": 60, "max_depth": 3, "learning_rate": 0.3}
+    whole = ln.fit(ln.Spec(ln.BOOSTING, spec | {"early_stopping": False}), data.part("train"), data.features)
+    early = ln.fit(ln.Spec(ln.BOOSTING, spec | {"early_stopping": True}), data.part("train"), data.features)
+    assert whole.rounds() == 60 and 1 <= early.rounds() < 60
+
+
+def test_search_measures_every_draw_once_for_both_classes(data):
+    names = ("Logistic Regression", "LinearSVC")
+    runs = training.search_rounds(data, {n: training.SPACES[n] for n in names}, trials=12)
+    val = data.part("val").toPandas()
+    for name in names:
+        assert [t.spec for t in runs[0][name]] == [t.spec for t in runs[1][name]] and len(runs[0][name]) == 12
+    # single fits by another route give the same cells
+    for t0, t1 in list(zip(runs[0]["Logistic Regression"], runs[1]["Logistic Regression"]))[:3]:
+        spec = ln.Spec(ln.LOGISTIC, {**t0.spec.params, "tol": 1e-12})
+        model = ln.fit(spec, data.part("train"), data.features)
+        weights, intercept = model.linear_weights()
+        said = (val[["x0", "x1"]].to_numpy() @ [weights["x0"], weights["x1"]] + intercept >= 0).astype(int)
+        y = val.satisfecho.to_numpy()
+        for c, t in ((0, t0), (1, t1)):
+            hit = ((said == c) & (y == c)).sum()
+            assert t.value == pytest.approx(2 * hit / ((said == c).sum() + (y == c).sum()), abs=0.02)
+    table = training.search_table(data.table.sparkSession, runs).toPandas()
+    assert len(table) == 48 and set(table.loss.dropna()) <= {"hinge", "squared_hinge"}
+    assert (table.sort_values("trial").groupby(["pos_label", "model"]).f1.cummax().sort_index() == table.best.sort_index()).all()
+
+
 def test_batch_reports_append_to_the_history(spark, tmp_path, data):
     model = ln.fit(ln.Spec(ln.LOGISTIC), data.part("train"), data.features)
     path = f"{tmp_path}/history"

@@ -92,21 +92,52 @@ def test_running_max_and_seeded_sample(spark):
     assert one == two and len(one) == 50
 
 
-@pytest.mark.parametrize("accuracy", [200, 20_000])
-def test_quantiles_are_exact(skewed, accuracy):
+@pytest.mark.parametrize("read, cells", [(100_000, 4_096), (10, 4_096), (0, 3)])
+def test_quantiles_are_exact(skewed, monkeypatch, read, cells):
+    """Read at once, after some histograms, and narrowed to single values."""
+    monkeypatch.setattr(qn, "READ", read)
+    monkeypatch.setattr(qn, "CELLS", cells)
     pdf, df = skewed
-    probs = [0, 0.01, 0.1, 0.25, 0.5, 0.77, 0.99, 1]
-    got = qn.exact_quantiles(df, ["v", "id"], probs, accuracy=accuracy)
+    probs = [0.0, 0.01, 0.25, 0.3337, 0.5, 0.75, 0.99, 1.0]
+    got = qn.exact_quantiles(df, ["v", "id"], probs)
     for c in ("v", "id"):
         assert np.allclose(got[c], np.quantile(pdf[c], probs), rtol=0, atol=1e-12)
 
 
+@pytest.mark.parametrize("read", [100_000, 0])
+def test_quantiles_of_extreme_values(spark, monkeypatch, read):
+    monkeypatch.setattr(qn, "READ", read)
+    values = [-1.7e308, -5e-324, 0.0, -0.0, 5e-324, 1.0, float(np.nextafter(1.0, 2.0)), 1.7e308, -3.0, -3.0, -3.0]
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(2)
+    probs = [k / (len(values) - 1) for k in range(len(values))]
+    assert qn.exact_quantiles(df, ["v"], probs)["v"] == sorted(v + 0.0 for v in values)
+
+
+def test_values_in_order_as_whole_numbers():
+    rng = np.random.default_rng(1)
+    v = np.sort(rng.normal(0, 1, 200) * 10.0 ** rng.integers(-300, 300, 200))
+    assert (np.diff(qn.ordered(v)) > 0).all()
+    assert (qn.ordered(qn.ordered(v)).view(float) == v).all()
+
+
+def test_a_task_reads_a_bounded_number_of_rows(spark, monkeypatch):
+    """Ten times the rows: no more values are read, and no scan sends more."""
+    seen = []
+    real = qn._read
+    monkeypatch.setattr(qn, "_read", lambda v, b, f: (seen.append(sum(x.inside for x in b)), real(v, b, f)))
+    monkeypatch.setattr(qn, "READ", 500)
+    for n in (20_000, 200_000):
+        df = spark.range(n).select((F.rand(3) * 1000).alias("v"))
+        assert qn.exact_quantiles(df, ["v"], [0.5])["v"][0] == pytest.approx(500, abs=20)
+    assert all(s <= 500 for s in seen)
+
+
 def test_quantiles_of_odd_columns(spark):
     df = spark.createDataFrame(
         [(float(i), None, 7.0, float("nan") if i == 1 else float(i)) for i in range(1, 11)] + [(None, None, 7.0, None)],
         "a double, empty double, flat double, nan double",
     )
-    got = qn.exact_quantiles(df, ["a", "empty", "flat", "nan"], [0.01, 0.5], accuracy=100)
+    got = qn.exact_quantiles(df, ["a", "empty", "flat", "nan"], [0.01, 0.5])
     assert qn.exact_quantiles(df.limit(0), ["a"], [0.5]) == {"a": [None]}
     assert got["a"] == pytest.approx([1.09, 5.5])
     assert got["empty"] == [None, None]
