@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Row, functions as F
 
-from orderpulse.operators import learners as ln, metrics as mt, selection as sel
+from orderpulse.operators import forests, learners as ln, metrics as mt, selection as sel
 from orderpulse.plans.dataset import Dataset
 from orderpulse.sources.staging import stage
 
@@ -88,23 +88,13 @@ class _Judge:
 
 
 def forest_aucs(data: Dataset, features: Sequence[str], split: tuple[str, str], spec: ln.Spec = SINGLE) -> dict[str, float | None]:
-    """Validation AUC of a small forest per single feature; a constant one gets none."""
-    train, val = data.part(split[0]), data.part(split[1])
-    varied = set(sel.nonconstant(train, list(features)))
-    shown = [f for f in features if f in varied]
-    with ThreadPoolExecutor(PARALLELISM) as pool:
-        models = list(pool.map(lambda f: ln.fit(spec, train, [f], data.label, data.key), shown))
-    scored = None
-    for f, model in zip(shown, models):
-        part = model.score(val.select(F.col(data.label).alias("label"), f)).select(
-            F.lit(f).alias("feature"), "label", "proba"
-        )
-        scored = part if scored is None else scored.unionByName(part)
-    found: dict[str, float | None] = {f: None for f in features}
-    if scored is not None:
-        for row in mt.rank_metrics(stage(scored, "single"), ["feature"]).collect():
-            found[row["feature"]] = None if row["auc"] is None else round(row["auc"], 4)
-    return found
+    """Validation AUC of a small forest per single feature, all from one histogram; a constant one gets none."""
+    p = spec.params
+    found = forests.single_feature_aucs(
+        data.part(split[0]), data.part(split[1]), features, data.label, data.key, int(p["n_estimators"]), int(p["max_depth"]),
+        p.get("class_weight") == "balanced", int(p["seed"]),
+    )
+    return {f: None if v is None else round(v, 4) for f, v in found.items()}
 
 
 def rank_aucs(data: Dataset, features: Sequence[str], split: tuple[str, str]) -> dict[str, float | None]:

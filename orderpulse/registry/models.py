@@ -314,3 +314,12 @@ def forest_importances(spark, folder):
 def selection_table(spark, folder):
     """The selection as it went: metrics of every candidate of every step, what it removed, which one won."""
     return stepwise.select_features(frames.model_data(spark, folder)).steps
+
+
+@Q.query("univariate_forest_aucs")
+def univariate_forest_aucs(spark, folder):
+    """Validation AUC of each feature's own forest, best first; missing for a constant feature."""
+    data = frames.model_data(spark, folder)
+    found = stepwise.forest_aucs(data, data.features, ("train", "val"))
+    ranked = sorted(found.items(), key=lambda x: (-(x[1] or 0.0), x[0]))
+    return spark.createDataFrame([(f, v) for f, v in ranked], "feature string, auc double")
