@@ -4,6 +4,10 @@ The network is trained here, in numpy, by backpropagation through time on a boun
 reads the UTF-8 bytes of a whole text in windows of ``WINDOW`` bytes from both ends, gives every position a probability
 for each language, and a document's probabilities are the mean over the positions that belong to letters.
 
+A network that was only shown some languages is sure of one of them on any text.  :func:`drop_unidentified` therefore also
+asks how many of a text's letter trigrams stand in the training windows, and compares that with what a training window
+finds in the other ones.
+
 Training rows: a non-missing label and id, a letter in the text, and crc32 of the id as text modulo 4 other than 2; of
 each label the ``PER_LABEL`` documents with the lowest hash of id and text give up to ``SNIPPETS`` windows each.  Label,
 source and id are never inputs of a prediction.
@@ -34,8 +38,14 @@ SLACK, WIDER = 4, 16
 #: Bytes of a training window, windows in a training step.
 SPAN, STEP_ROWS = 64, 256
 UNKNOWN = "und"
-#: A document of which no language has this mean probability is rejected by the pipeline.
-LEAST_SCORE = 0.35
+#: The pipeline rejects a document whose best mean probability lies less than this share of the way from chance to 1.
+LEAST_MARGIN = 0.1
+#: It also rejects one whose letters are less than this share as familiar as those of a training window usually are.
+LEAST_FAMILIAR = 0.5
+#: Trigrams that every text is taken to have besides its own, as familiar as usual: a few strange words reject nothing.
+PRIOR_TRIGRAMS = 8
+#: Bytes of a text whose trigrams are looked up at a time.
+STRIP = 1 << 18
 
 _LETTER = regex.compile(r"\p{L}")
 #: Byte classes: 0 pads; ASCII letters and all bytes of other scripts count when probabilities are pooled.
@@ -218,6 +228,62 @@ def document_probabilities(net: Network, texts: Sequence[bytes]) -> np.ndarray:
     return total / np.maximum(pooled, 1)[:, None]
 
 
+def letter_trigrams(text: bytes) -> Iterator[np.ndarray]:
+    """Three neighbouring bytes of letters as one number, ASCII letters in lower case; strip by strip, repeats included."""
+    for i in range(0, max(len(text) - 2, 0), STRIP):
+        codes = np.frombuffer(text[i : i + STRIP + 2].lower(), np.uint8)
+        letter = _POOLED[codes]
+        wide = codes.astype(np.int32)
+        whole = letter[:-2] & letter[1:-1] & letter[2:]
+        yield ((wide[:-2] << 16) | (wide[1:-1] << 8) | wide[2:])[whole]
+
+
+@dataclass
+class Familiar:
+    """The letter trigrams of the training windows, and the share of a window's trigrams that another window has too."""
+
+    known: np.ndarray
+    usual: float
+
+    def table(self) -> np.ndarray:
+        found = np.zeros(1 << 24, bool)
+        found[self.known] = True
+        return found
+
+    def share(self, text: bytes, table: np.ndarray, distinct: bool = False) -> float:
+        """Share of known trigrams in a whole text, ``PRIOR_TRIGRAMS`` of usual familiarity added; each counts once if ``distinct``."""
+        parts = letter_trigrams(text)
+        if distinct:
+            whole = np.empty(0, np.int32)
+            for part in parts:
+                whole = np.union1d(whole, part)
+            parts = iter([whole])
+        seen, size = PRIOR_TRIGRAMS * self.usual, PRIOR_TRIGRAMS
+        for found in parts:
+            seen += int(np.count_nonzero(table[found]))
+            size += len(found)
+        return seen / size
+
+    def strange(self, text: bytes, table: np.ndarray, least: float) -> bool:
+        """Less than ``least`` as familiar as usual by all trigrams and by distinct ones.
+
+        All count, so that some noise in a long text rejects nothing; distinct ones, so that one strange word often repeated
+        doesn't either.
+        """
+        low = least * self.usual
+        return self.share(text, table) < low and self.share(text, table, distinct=True) < low
+
+
+def familiar(samples: Sequence[tuple[bytes, str]]) -> Familiar:
+    """What the training windows of all languages have in common with one another; equal windows count once."""
+    windows = [np.concatenate([*letter_trigrams(w), np.empty(0, np.int32)]) for w in sorted({w for w, _ in samples})]
+    within = [np.unique(w) for w in windows]
+    known, held = np.unique(np.concatenate([*within, np.empty(0, np.int32)]), return_counts=True)
+    shared = known[held > 1]
+    shares = [np.isin(w, shared).mean() for w in windows if len(w)]
+    return Familiar(known, float(np.median(shares)) if shares else 0.0)
+
+
 def training_sample(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang") -> list[tuple[bytes, str]]:
     """Windows of labelled documents, at most ``PER_LABEL * SNIPPETS`` for each label."""
     rest = F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(4))
@@ -282,17 +348,28 @@ def identify(docs: DataFrame) -> DataFrame:
     return predict(docs, net).select("doc_id", F.coalesce(rest == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
-def drop_unidentified(docs: DataFrame, text: str = "text", least: float = LEAST_SCORE) -> DataFrame:
-    """The documents whose language is found with a score of at least ``least``, with all their columns."""
-    net = train(training_sample(docs))
+def drop_unidentified(
+    docs: DataFrame, text: str = "text", margin: float = LEAST_MARGIN, least: float = LEAST_FAMILIAR
+) -> DataFrame:
+    """The documents in one of the learned languages, with all their columns.
+
+    Kept is a text with a letter, a best score of at least ``margin`` of the way from chance to 1, and letters that are at
+    least ``least`` as familiar as those of a training window (:meth:`Familiar.strange`).
+    """
+    sample = training_sample(docs)
+    net, seen = train(sample), familiar(sample)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = seen.table()
         for batch in batches:
             texts = batch.column(0).field(at).to_pylist()
-            known = [i for i, t in enumerate(texts) if t is not None and _LETTER.search(t)]
             keep = np.zeros(len(texts), bool)
-            if known and net is not None:
-                keep[known] = document_probabilities(net, [texts[i].encode() for i in known]).max(axis=1) >= least
+            known = [i for i, t in enumerate(texts) if net is not None and t is not None and _LETTER.search(t)]
+            if known:
+                own = [texts[i].encode() for i in known]
+                chance = 1 / len(net.languages)
+                sure = document_probabilities(net, own).max(axis=1) >= chance + margin * (1 - chance) - 1e-6
+                keep[known] = sure & ~np.array([seen.strange(t, table, least) for t in own])
             yield batch.filter(pa.array(keep))
 
     at = docs.columns.index(text)

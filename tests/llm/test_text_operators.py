@@ -212,6 +212,51 @@ def test_language_of_awkward_rows(docs):
     assert {r["lang_pred"] for r in langid.identify(blank).collect()} == {"und"}
 
 
+FOREIGN = [
+    "Latvijas Republika ir valsts Ziemeļeiropā, Baltijas jūras austrumu krastā. Tās galvaspilsēta ir Rīga un valsts valoda ir latviešu.",
+    "日本国は東アジアに位置する民主制国家で首都は東京都である。全国に四季がありさまざまな文化がある。",
+    "Suomi on Pohjois-Euroopassa sijaitseva valtio jonka pääkaupunki on Helsinki ja väestö puhuu suomea.",
+    "Rzeczpospolita Polska jest państwem w Europie Środkowej położonym między Morzem Bałtyckim a Sudetami.",
+    "Россия является крупнейшим государством мира и расположена в восточной Европе и северной Азии.",
+    "xqzv kjwq zzxk qpvw vvkx jqzx wkqz xxjv pqkz zkxqj vqkzx wvxqk jjzqx",
+]
+
+
+def test_stage_rejects_languages_not_learned(spark):
+    """Foreign texts and letter junk go, of any length; held-out texts of every learned language stay."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    foreign = [(10**6 + i, t * n, None) for i, (t, n) in enumerate((t, n) for t in FOREIGN for n in (1, 500))]
+    short = [(2 * 10**6 + i, t, None) for i, t in enumerate(["ok", "qz", "the", "?!", "", None])]
+    got = langid.drop_unidentified(docs.union(spark.createDataFrame(foreign + short, "doc_id long, text string, lang string")))
+    kept = {r["doc_id"] for r in got.select("doc_id").collect()}
+    assert sum(k in kept for k, _, _ in foreign) <= 0.1 * len(foreign)
+    assert {k - 2 * 10**6 for k in kept if k >= 2 * 10**6} == {0, 1, 2}
+    held = [(r["doc_id"], r["lang"]) for r in docs.collect() if zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2]
+    for lang in {lang for _, lang in held}:
+        own = [k in kept for k, x in held if x == lang]
+        assert np.mean(own) >= 0.99
+
+
+def test_familiarity_is_strip_by_strip(monkeypatch):
+    sample = [(b"the cat sat on the mat", "a"), (b"the hat that the cat sat on", "a"), ("é la été".encode(), "b")]
+    known = langid.familiar(sample)
+    texts = ["The cat, the HAT été 9the".encode(), b"zzz qqq", b"", b"ab", b"catcatcat" * 50]
+
+    def slow(text):
+        text = text.lower()
+        found = [text[i : i + 3] for i in range(len(text) - 2) if all(langid._POOLED[b] for b in text[i : i + 3])]
+        seen = {w[i : i + 3].lower() for w, _ in sample for i in range(len(w) - 2)}
+        return (langid.PRIOR_TRIGRAMS * known.usual + sum(g in seen for g in found)) / (langid.PRIOR_TRIGRAMS + len(found))
+
+    for strip in (5, 1 << 18):
+        monkeypatch.setattr(langid, "STRIP", strip)
+        assert [known.share(t, known.table()) for t in texts] == pytest.approx([slow(t) for t in texts])
+        repeated = known.share(b"zqx zqx " * 90, known.table(), distinct=True)
+        assert repeated == pytest.approx(langid.PRIOR_TRIGRAMS * known.usual / (langid.PRIOR_TRIGRAMS + 1))
+    nothing = langid.familiar([])
+    assert nothing.usual == 0 and nothing.share(b"the cat", nothing.table()) == 0
+
+
 # --- archive ---------------------------------------------------------------------------------------------------------
 
 
@@ -234,6 +279,15 @@ def test_archive(spark, texts):
         assert head + b"\r\n\r\n" == bytes(r["header"]) and rest.endswith(b"\r\n\r\n")
         size = int(re.search(rb"Content-Length: (\d+)", head)[1])
         assert rest[:-4] == (bytes(r["payload"]) if r["record_type"] == "response" else b"") and size == len(rest) - 4
+        assert re.search(rb"WARC-Date: \d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ\r\n", head)
+    by_id = {r["record_id"]: r for r in records}
+    assert len(by_id) == len(records)
+    for r in records:
+        if r["record_type"] == "response":
+            assert r["response_id"] is None
+        else:
+            lead = by_id[r["response_id"]]
+            assert lead["record_type"] == "response" and lead["payload"] == r["payload"] and lead["page_id"] == r["refers_to"]
     assert archive.payloads.count() == len({b for _, _, b in held})
     broken = warc.Archive(archive.headers, archive.payloads.withColumn("payload", F.lit(b"other")))
     with pytest.raises(Exception, match="does not match its digest"):
