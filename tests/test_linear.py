@@ -147,3 +147,18 @@ def test_no_rows(spark):
     assert li.fit_many(none, [li.Problem(), li.Problem(li.SQUARED_HINGE)], 2)[1].weights.tolist() == [0, 0]
     assert li.confusions(none, li.plain(none, [li.Problem()], 2)).tolist() == [[0, 0, 0, 0]]
     assert li.fit_isotonics(none, [li.Problem(left_out=0)], [li.Linear(np.zeros(2), 0.0)])[0](np.zeros(1)).tolist() == [0.5]
+
+
+def test_hinge_fits_converge_in_few_scans(spark, monkeypatch):
+    """Labels that the features hardly tell, so that most rows lie at the hinge's corner."""
+    rng = np.random.default_rng(9)
+    d, signal = 16, np.array([0.4, -0.2, 0.1, 0.1] * 4)
+    x = rng.normal(0, 1, (4000, d)).round(1)
+    y = (x @ signal / 2 + rng.logistic(0, 1.5, len(x)) > 0).astype(int)
+    data = [(int(a), i % 5, [float(v) for v in r]) for i, (a, r) in enumerate(zip(y, x))]
+    rows = spark.createDataFrame(data, li.ROWS).repartition(2).cache()
+    scans, add_up = [], li._add_up
+    monkeypatch.setattr(li, "_add_up", lambda *args: scans.append(1) or add_up(*args))
+    problems = [li.Problem(li.HINGE, c, balanced, k) for c in (0.1, 1.0, 10.0, 100.0) for balanced in (False, True) for k in (0, 1)]
+    assert all(m.slope < li.FLAT for m in li.fit_many(rows, problems, d))
+    assert len(scans) < 30
