@@ -100,3 +100,12 @@ def test_odd_tables(split, spark):
     assert fo.single_feature_aucs(train.limit(0), unseen, ["good"], "y", "order_id") == {"good": None}
     assert fo.single_feature_aucs(train, unseen.limit(0), ["good"], "y", "order_id") == {"good": None}
     assert fo.single_feature_aucs(train, unseen.where("y = 1"), ["good"], "y", "order_id") == {"good": None}
+
+
+def test_a_value_that_few_rows_hold_varies(spark):
+    """All inner quantiles are the lowest value; the rows above it still have a bin of their own."""
+    rows = [(k, int(k % 50 == 0 or k % 3 == 0), float(k % 50 == 0), 4.0) for k in range(2000)]
+    df = spark.createDataFrame(rows, "order_id long, y int, rare double, constant double")
+    assert len(fo.bin_edges(df, ["rare"])[0]) == 2
+    found = fo.single_feature_aucs(df, df, ["rare", "constant"], "y", "order_id")
+    assert found["constant"] is None and found["rare"] > 0.5
