@@ -196,3 +196,45 @@ def test_fanout_join_keeps_every_review(tables):
     joined = tables["orders"].join(tables["reviews"], "order_id", "inner")
     assert joined.where("order_id = 'o1'").count() == 2
     assert ft.reviewed_orders(tables["orders"], tables["reviews"]).where("order_id = 'o1'").count() == 1
+
+
+def test_summaries_are_shuffled_once_and_keep_the_order_of_rows(spark):
+    """Against sums, distinct counts and a window apart: ties, NaN, missing prices, missing orders."""
+    rows = [
+        ("a", 1, 5.0, "p1", "s1"), ("a", 2, 9.0, "p2", "s2"), ("a", 3, 9.0, "p0", None), ("b", 1, None, "p1", "s1"),
+        ("b", 2, 0.5, "p3", "s1"), ("c", 1, 7.0, "p1", "s1"), ("c", 2, float("nan"), "p9", "s3"), ("d", 1, None, "p4", None),
+        ("e", None, 2.0, "p5", "s5"), ("e", 1, 2.0, "p6", "s6"), (None, 1, 3.0, "p1", "s1"),
+    ]
+    items = spark.createDataFrame(rows, "order_id string, order_item_id int, price double, product_id string, seller_id string")
+    items = items.withColumn("freight_value", F.lit(1.0)).repartition(3)
+    got = ft.summarize_items(items)
+    sums = items.groupBy("order_id").agg(F.avg("price").alias("m"), F.count_distinct("seller_id").alias("k"))
+    kept = {r["order_id"]: r for r in sums.join(ft.main_items(items), "order_id").collect()}
+    found = {r["order_id"]: r for r in got.collect()}
+    assert set(found) == set(kept) == set("abcde")
+    for key, r in found.items():
+        k = kept[key]
+        assert (r["unique_sellers"], r["seller_id"], r["product_id"]) == (k["k"], k["seller_id"], k["product_id"])
+        assert str(r["avg_price_per_item"]) == str(k["m"])
+    paid = items.select(
+        "order_id", F.col("order_item_id").alias("payment_sequential"), F.col("seller_id").alias("payment_type"),
+        F.col("price").alias("payment_value"), F.col("order_item_id").alias("payment_installments"),
+    )
+    got_paid = ft.summarize_payments(paid)
+    types = {r["order_id"]: r["payment_type"] for r in ft.main_payments(paid).where("order_id IS NOT NULL").collect()}
+    assert {r["order_id"]: r["payment_type"] for r in got_paid.collect()} == types
+    for df in (ft.summarize_items(items), ft.summarize_payments(paid)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1, plan
+
+
+def test_dropped_columns_are_not_written(spark, monkeypatch):
+    from orderpulse.operators import quality as qa
+    from orderpulse.registry import frames
+
+    written, stage = [], frames.stage
+    monkeypatch.setattr(frames, "stage", lambda df, name: written.append(set(df.columns)) or stage(df, name))
+    out = frames.cleaned(spark, "/root/testdata/sf0.001")
+    listed = {c for columns in qa.DROP_GROUPS.values() for c in columns}
+    assert written and not any(columns & listed for columns in written)
+    assert {r["column_name"] for r in out.dropped.where("dropped = 1").collect()} == listed - {"review_score"}
