@@ -24,6 +24,8 @@ STEPS = (
 )
 METRICS = (("auc", "auc"), ("acc", "accuracy"), ("rec", "recall_1"), ("prec", "prec_1"), ("f1", "f1_1"), ("gini", "gini"))
 PARALLELISM = 4  # fits running side by side
+#: Rows that fits side by side may hold together: a forest keeps each row with a count per tree in memory.
+TOGETHER_ROWS = 4_000_000
 TABLE_SCHEMA = (
     "paso int, metodo string, threshold string, n_features int, "
     + ", ".join(f"{m}_{side} double" for m, _ in METRICS for side in ("train", "val"))
@@ -38,6 +40,11 @@ class Selection:
     detail: DataFrame
 
 
+def side_by_side(rows: int, parallelism: int = PARALLELISM) -> int:
+    """Fits that run at once: fewer the more rows there are, as a single one keeps all cores busy then."""
+    return max(1, min(parallelism, TOGETHER_ROWS // max(1, rows)))
+
+
 class _Judge:
     """Trains the judging forest once per feature set and remembers its metrics.
 
@@ -66,7 +73,8 @@ class _Judge:
         if not sets:
             return
         d = self.data
-        with ThreadPoolExecutor(self.parallelism) as pool:
+        at_once = side_by_side(train.count(), self.parallelism) if len(sets) > 1 else 1
+        with ThreadPoolExecutor(at_once) as pool:
             models = list(pool.map(lambda s: ln.fit(self.spec, train, s, d.label, d.key), sets.values()))
         scored = None
         for i, model in enumerate(models):

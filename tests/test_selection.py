@@ -110,3 +110,20 @@ def test_forest_auc_of_single_features(frame):
     _, df = frame
     found = stepwise.forest_aucs(Dataset(df, FEATURES), ["a", "noise", "flat"], ("train", "val"))
     assert found["a"] > 0.65 and abs(found["noise"] - 0.5) < 0.12 and found["flat"] is None
+
+
+def test_fits_run_side_by_side_only_while_their_rows_fit(spark, monkeypatch):
+    """Candidates of a large table are fitted one after the other, with the same result."""
+    from orderpulse.plans import stepwise
+    from orderpulse.plans.dataset import Dataset
+
+    rows = [(k, "train" if k % 3 else "val", int(k % 7 > 2), float(k % 7), float(k % 5)) for k in range(300)]
+    data = Dataset(spark.createDataFrame(rows, "order_id long, split string, satisfecho int, a double, b double"), ["a", "b"])
+    judge = stepwise.ln.Spec(stepwise.ln.FOREST, {"n_estimators": 3, "max_depth": 2, "seed": 1})
+    pool, used = stepwise.ThreadPoolExecutor, []
+    monkeypatch.setattr(stepwise, "ThreadPoolExecutor", lambda n: used.append(n) or pool(n))
+    found = []
+    for room in (4_000_000, 100):
+        monkeypatch.setattr(stepwise, "TOGETHER_ROWS", room)
+        found.append(stepwise._Judge(data, judge, ("train", "val"))([["a"], ["b"], ["a", "b"]]))
+    assert used == [4, 1] and found[0] == found[1]
