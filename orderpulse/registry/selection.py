@@ -10,6 +10,7 @@ from orderpulse.functions import expressions as ex
 from orderpulse.operators import aggregates as ag, drift, explain, selection as sel
 from orderpulse.registry import Registry, r, roles_sql as R, rounded
 from orderpulse.sources import star
+from orderpulse.sources.staging import stage
 
 Q = Registry()
 
@@ -140,7 +141,8 @@ _STEP_VALUES = ", ".join(f"({p}, {o}, {t}::DOUBLE)" for p, o, t in _STEPS)
 
 def _candidates(spark, folder):
     """Per threshold: features whose AUC is far enough from one half, and their best AUC."""
-    aucs = univariate_auc(spark, folder)
+    # read twice: its rows are few, its ranking is not
+    aucs = stage(univariate_auc(spark, folder), "aucs")
     base = aucs.agg(F.round(F.avg("auc"), 6)).scalar()
     rows = [
         F.struct(

@@ -127,3 +127,10 @@ def test_fits_run_side_by_side_only_while_their_rows_fit(spark, monkeypatch):
         monkeypatch.setattr(stepwise, "TOGETHER_ROWS", room)
         found.append(stepwise._Judge(data, judge, ("train", "val"))([["a"], ["b"], ["a", "b"]]))
     assert used == [4, 1] and found[0] == found[1]
+
+
+def test_features_are_ranked_once_for_the_candidates(spark):
+    from orderpulse.registry import selection
+
+    found = selection._candidates(spark, "/root/testdata/sf0.001")
+    assert "Window" not in found._jdf.queryExecution().optimizedPlan().toString()
