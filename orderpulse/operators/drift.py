@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.ml.feature import Bucketizer
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from orderpulse.functions import expressions as ex
@@ -41,23 +42,28 @@ def _binned_counts(
     ``_r`` and ``_a`` flag the sides.  The outermost ranges are bins of their own
     when ``outer`` is set and lie outside all bins (bin -1) otherwise.
     """
-    names = [f"v{i}" for i in range(len(keys))]
-    cut = Bucketizer(
-        splitsArray=[list(x) for x in splits], inputCols=names, outputCols=[f"b{n}" for n in names],
-        handleInvalid="keep",
-    ).transform(values)
-    cells = []
-    for key, name, edges in zip(keys, names, splits):
-        raw = F.col(f"b{name}").cast("int")
-        number = raw if outer else F.when(raw.between(1, len(edges) - 3), raw).otherwise(F.lit(-1))
-        known = F.col(name).isNotNull() & ~F.isnan(name)
-        cells.append(F.struct(F.lit(key).alias("key"), F.when(known, number).alias("bin")))
-    return (
-        cut.select("_r", "_a", F.explode(F.array(*cells)).alias("c"))
-        .where("c.bin IS NOT NULL")
-        .groupBy(F.col("c.key").alias("key"), F.col("c.bin").alias("bin"))
-        .agg(F.sum("_r").alias("ref"), F.sum("_a").alias("act"))
-    )
+    cuts = [np.array(x, float) for x in splits]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = [np.zeros((2, len(cut) - 1), np.int64) for cut in cuts]
+        for batch in batches:
+            sides = [batch.column(k).to_numpy() for k in (0, 1)]
+            for i, cut in enumerate(cuts):
+                v = batch.column(2 + i).to_numpy(zero_copy_only=False).astype(float)
+                known = ~np.isnan(v)
+                # the last range is closed
+                at = np.minimum(np.searchsorted(cut, v[known], side="right") - 1, len(cut) - 2)
+                for counts, side in zip(own[i], sides):
+                    counts += np.bincount(at, side[known], len(counts)).astype(np.int64)
+        for i, counts in enumerate(own):
+            seen = np.flatnonzero(counts.any(0))
+            bins = seen if outer else np.where((seen > 0) & (seen < counts.shape[1] - 1), seen, -1)
+            arrays = [np.full(len(seen), i, np.int32), bins.astype(np.int32), *counts[:, seen]]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["i", "bin", "ref", "act"])
+
+    told = values.select("_r", "_a", *[f"v{i}" for i in range(len(keys))]).mapInArrow(run, "i int, bin int, ref long, act long")
+    key = F.element_at(F.array(*[F.lit(k) for k in keys]), F.col("i") + 1)
+    return told.groupBy("i", "bin").agg(F.sum("ref").alias("ref"), F.sum("act").alias("act")).withColumn("key", key).drop("i")
 
 
 def feature_psi(

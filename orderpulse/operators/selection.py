@@ -39,10 +39,13 @@ def nonconstant(df: DataFrame, features: Sequence[str]) -> Names:
     return [f for i, f in enumerate(features) if row[i]]
 
 
-def by_missing(df: DataFrame, features: Sequence[str], threshold: float) -> tuple[Names, Names]:
+def by_missing(
+    df: DataFrame, features: Sequence[str], threshold: float, shares: Mapping[str, float] | None = None
+) -> tuple[Names, Names]:
+    """Drop features that miss more than a share of the rows; ``shares`` saves a scan where they are known."""
     if not features:
         return [], []
-    shares = qa.missing_shares(df, features)
+    shares = shares or qa.missing_shares(df, features)
     return _partition(features, {f for f in features if shares[f] > threshold})
 
 

@@ -62,7 +62,7 @@ def batch_report(
         "histogram": ag.value_histogram(scored, "proba", 0.0, 1.0, 30, "label"),
         "trend": sinks.history_trend(trend),
     }
-    if len(model.pipelines) == 1 and hasattr(model.pipelines[0].stages[-1], "coefficients"):
+    if len(getattr(model, "pipelines", ())) == 1 and hasattr(model.pipelines[0].stages[-1], "coefficients"):
         weights, intercept = model.linear_weights()
         phi = explain.linear_attributions(rows, weights, intercept, background=rows)
         out["shap"] = phi

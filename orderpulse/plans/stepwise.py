@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Row, functions as F
 
-from orderpulse.operators import forests, learners as ln, metrics as mt, selection as sel
+from orderpulse.operators import forests, learners as ln, metrics as mt, quality as qa, selection as sel, trees
 from orderpulse.plans.dataset import Dataset
 from orderpulse.sources.staging import stage
 
@@ -24,7 +25,7 @@ STEPS = (
 )
 METRICS = (("auc", "auc"), ("acc", "accuracy"), ("rec", "recall_1"), ("prec", "prec_1"), ("f1", "f1_1"), ("gini", "gini"))
 PARALLELISM = 4  # fits running side by side
-#: Rows that fits side by side may hold together: a forest keeps each row with a count per tree in memory.
+#: Rows that fits side by side may hold together: MLlib's forests keep each row with a count per tree in memory.
 TOGETHER_ROWS = 4_000_000
 TABLE_SCHEMA = (
     "paso int, metodo string, threshold string, n_features int, "
@@ -48,39 +49,62 @@ def side_by_side(rows: int, parallelism: int = PARALLELISM) -> int:
 class _Judge:
     """Trains the judging forest once per feature set and remembers its metrics.
 
-    The candidates of one step are fitted side by side and measured together.
+    The candidates of one step are fitted side by side and measured together.  On a large table all forests read the same
+    binned rows, which are written once.
     """
 
     def __init__(self, data: Dataset, spec: ln.Spec, split: tuple[str, str], parallelism: int = PARALLELISM):
         self.data, self.spec, self.split, self.parallelism = data, spec, split, parallelism
         self.seen: dict[tuple[str, ...], dict[str, float | None]] = {}
+        self.models: dict[tuple[str, ...], ln.Fitted | ln.CalibratedLinear | ln.BinnedForest] = {}
 
     def rows(self) -> tuple[DataFrame, DataFrame]:
         return self.data.part(self.split[0]), self.data.part(*self.split)
 
+    @functools.cached_property
+    def size(self) -> int:
+        return self.rows()[0].count()
+
+    @functools.cached_property
+    def varied(self) -> set[str]:
+        return set(sel.nonconstant(self.rows()[0], self.data.features))
+
+    @functools.cached_property
+    def binned(self) -> ln.Binned | None:
+        """Bins of all features, for the rows of both splits."""
+        if self.spec.kind != ln.FOREST or self.size <= ln.BINNED_ROWS:
+            return None
+        train, both = self.rows()
+        return ln.Binned.of(both, train, self.data.features, self.data.label, self.data.key, "split")
+
+    def fit(self, features: Sequence[str]) -> ln.Fitted | ln.CalibratedLinear | ln.BinnedForest:
+        """The judging model on some features, trained once."""
+        name = tuple(features)
+        if name not in self.models:
+            binned = self.binned and self.binned.where(F.col("split") == self.split[0])
+            self.models[name] = ln.fit(self.spec, self.rows()[0], features, self.data.label, self.data.key, binned)
+        return self.models[name]
+
     def __call__(self, sets: Sequence[Sequence[str]]) -> list[dict[str, float | None]]:
         keys = [tuple(sorted(s)) for s in sets]
         fresh = {k: list(s) for k, s in zip(keys, sets) if k not in self.seen}
         if fresh:
-            train, both = self.rows()
-            varied = set(sel.nonconstant(train, sorted({f for s in fresh.values() for f in s})))
-            usable = {k: [f for f in s if f in varied] for k, s in fresh.items()}
+            usable = {k: [f for f in s if f in self.varied] for k, s in fresh.items()}
             self.seen |= {k: {} for k, s in usable.items() if not s}
-            self._measure({k: s for k, s in usable.items() if s}, train, both)
+            self._measure({k: s for k, s in usable.items() if s})
         return [self.seen[k] for k in keys]
 
-    def _measure(self, sets: dict[tuple[str, ...], list[str]], train: DataFrame, both: DataFrame) -> None:
+    def _measure(self, sets: dict[tuple[str, ...], list[str]]) -> None:
         if not sets:
             return
-        d = self.data
-        at_once = side_by_side(train.count(), self.parallelism) if len(sets) > 1 else 1
+        at_once = side_by_side(self.size, self.parallelism) if len(sets) > 1 else 1
+        binned = self.binned  # written before the pool asks for it
         with ThreadPoolExecutor(at_once) as pool:
-            models = list(pool.map(lambda s: ln.fit(self.spec, train, s, d.label, d.key), sets.values()))
-        scored = None
-        for i, model in enumerate(models):
-            rows = both.select("split", F.col(d.label).alias("label"), *model.features)
-            part = model.score(rows).select(F.lit(i).alias("candidate"), "split", "label", "proba")
-            scored = part if scored is None else scored.unionByName(part)
+            models = list(pool.map(self.fit, sets.values()))
+        if binned:
+            scored = trees.scores(binned.table, [m.forest for m in models], len(binned.edges), "split", "label")
+        else:
+            scored = self._scored(models)
         found = {k: {} for k in sets}
         names = list(sets)
         for row in mt.all_metrics(stage(scored, "candidates"), ["candidate", "split"]).collect():
@@ -90,9 +114,16 @@ class _Judge:
                 found[names[row["candidate"]]][f"{name}_{side}"] = None if value is None else round(value, 4)
         self.seen |= found
 
+    def _scored(self, models: Sequence[ln.Fitted | ln.CalibratedLinear | ln.BinnedForest]) -> DataFrame:
+        scored = None
+        for i, model in enumerate(models):
+            rows = self.rows()[1].select("split", F.col(self.data.label).alias("label"), *model.features)
+            part = model.score(rows).select(F.lit(i).alias("candidate"), "split", "label", "proba")
+            scored = part if scored is None else scored.unionByName(part)
+        return scored
+
     def importances(self, features: Sequence[str]) -> dict[str, float]:
-        train, _ = self.rows()
-        return ln.fit(self.spec, train, features, self.data.label, self.data.key).importances()
+        return self.fit(features).importances()
 
 
 def forest_aucs(data: Dataset, features: Sequence[str], split: tuple[str, str], spec: ln.Spec = SINGLE) -> dict[str, float | None]:
@@ -144,7 +175,8 @@ def select_features(
         if winner is not None:
             features, reference = candidates[winner][1], found[winner]["auc_val"]
 
-    run(1, [(str(t), *sel.by_missing(train, features, t)) for t in sel.MISSING_THRESHOLDS])
+    shares = qa.missing_shares(train, features) if features else {}
+    run(1, [(str(t), *sel.by_missing(train, features, t, shares)) for t in sel.MISSING_THRESHOLDS])
     psi = sel.psi_values(both, features, F.col("split") == split[0], F.col("split") == split[1])
     run(2, [(f">{sel.PSI_THRESHOLD}_bins={sel.PSI_BINS}", *sel.by_psi(psi, features))])
     r = sel.correlation_values(train, features)
