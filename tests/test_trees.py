@@ -133,3 +133,17 @@ def test_counts_of_bins_with_open_and_closed_ends(spark):
     }
     assert told([-inf, 0.0, 2.0, float(np.nextafter(3.0, inf)), inf], False) == {-1: (1, 0), 1: (2, 0), 2: (1, 2)}
     assert told([-inf, 1.0, inf], True) == {0: (2, 0), 1: (2, 2)}
+
+
+def test_baselines_of_a_large_table_grow_their_forest_from_bins(frame, monkeypatch):
+    """All four learners are fitted, ranked and measured."""
+    from orderpulse.plans import training
+
+    _, df = frame
+    monkeypatch.setattr(ln, "BINNED_ROWS", 100)
+    quick = {"Random Forest": {"n_estimators": 10}, "Gradient Boosting": {"max_iter": 3}}
+    specs = {n: ln.Spec(s.kind, {**s.params, **quick.get(n, {})}) for n, s in training.BASELINES.items()}
+    out = training.train_baselines(Dataset(df, FEATURES), specs)
+    assert isinstance(out.models["Random Forest"], ln.BinnedForest)
+    board = out.leaderboard.collect()
+    assert {r["model"] for r in board} == set(training.BASELINES) and board[0]["auc"] > 0.8
